@@ -52,15 +52,14 @@ class Env:
         """Meter feeds in XML: usage points, meter readings and reading types of a month, one
         interval block per reading."""
         path = self.folder("espi")
-        base = self.readings.select(
-            "*",
-            F.trunc("timestamp", "month").alias("slice"),
-            F.concat(
-                F.lit("/espi/1_1/resource/UsagePoint/"), "meter_id", F.lit("/MeterReading/"), "meter_reading_idx"
-            ).alias("meter"),
+        month = F.trunc("timestamp", "month")
+        # a subscription is one month, so its usage points are told apart from those of other months
+        root = F.concat(F.lit("/espi/1_1/resource/Subscription/"), "slice")
+        point = F.concat(root, F.lit("/UsagePoint/"), "meter_id")
+        base = self.readings.withColumn("slice", month.cast("string")).withColumn(
+            "meter", F.concat(point, F.lit("/MeterReading/"), "meter_reading_idx")
         )
-        point = F.concat(F.lit("/espi/1_1/resource/UsagePoint/"), "meter_id")
-        type_link = F.concat(F.lit("/espi/1_1/resource/ReadingType/"), "meter_id", F.lit("-"), "meter_reading_idx")
+        type_link = F.concat(root, F.lit("/ReadingType/"), "meter_id", F.lit("-"), "meter_reading_idx")
         code = F.regexp_extract("commodity", r"(\d+)$", 1).cast("int")
         unit = F.regexp_extract("uom", r"(\d+)$", 1).cast("int")
 
