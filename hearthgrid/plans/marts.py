@@ -396,9 +396,8 @@ class Marts:
         The result does not depend on how often an hour is read, so the facts are reduced to
         their distinct times before the join.
         """
-        times = electricity_sources(self.readings, self.power_hourly).select("home_id", "timestamp")
-        if self.home_locations is None:
-            times = times.select("timestamp").distinct()
+        keys = ["timestamp"] if self.home_locations is None else ["home_id", "timestamp"]
+        times = self.electricity_facts.select(*keys).distinct()
         with_parts = times.select("*", *_date_parts(with_hour=True))
         return hourly_weather_of(with_weather(with_parts, self.climate, self.home_locations))
 

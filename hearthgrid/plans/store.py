@@ -1,5 +1,6 @@
 """Marts as tables: built once, read by many queries."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import SparkSession
@@ -8,41 +9,55 @@ from hearthgrid import schemas
 from hearthgrid.plans import marts as plans
 from hearthgrid.plans.marts import Marts
 
-SMALL = ["homes", "meters", "climate"]
-FACTS = ["electricity_facts", "gas_facts", "water_facts", "carbon_facts", "weather_facts"]
+# tables that can be built side by side, step after step
+STEPS = [
+    ["homes", "climate", "power_hourly"],
+    ["meters"],
+    ["electricity_facts", "gas_facts", "water_facts"],
+    ["carbon_facts", "weather_facts", "hourly_weather"],
+]
+TABLES = [name for step in STEPS for name in step]
 
 
 def save(marts: Marts, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Write the dimensions, then the facts.
+    """Write all tables; each is built from the stored ones of the steps before it.
 
-    Carbon and weather facts are built from the stored electricity facts, so readings are decoded
-    and power is rolled up once. With ``partition_by`` (for example year and month) filters on
-    those columns skip folders.
+    Readings are decoded and power is rolled up once. The jobs of a step are submitted together,
+    so their tasks fill the cluster. With ``partition_by`` (for example year and month) facts are
+    laid out in folders and filters on those columns skip the rest.
     """
     spark = marts.readings.sparkSession
+    stored = replace(marts)
 
-    def write(name, df):
-        if partition_by and name in FACTS:
-            df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(
-                f"{path}/{name}"
-            )
+    def write(name: str) -> None:
+        df = getattr(stored, name)
+        if df is None:
+            return
+        if partition_by and name.endswith("_facts"):
+            writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
         else:
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}")
+            writer = df.write
+        writer.mode("overwrite").parquet(f"{path}/{name}")
 
-    homes = write("homes", marts.homes)
-    meters = write("meters", plans.home_meters(homes))
-    climate = write("climate", marts.climate)
-    stored = replace(marts)
-    stored.__dict__.update(homes=homes, meters=meters, climate=climate)
-    for name in FACTS:
-        stored.__dict__[name] = write(name, getattr(stored, name))
-    write("hourly_weather", plans.hourly_weather_of(stored.weather_facts))
+    for step in STEPS:
+        with ThreadPoolExecutor(len(step)) as pool:
+            list(pool.map(write, step))
+        for name in step:
+            if getattr(stored, name) is not None:
+                stored.__dict__[name] = spark.read.parquet(f"{path}/{name}")
 
 
 def load(spark: SparkSession, path: str) -> Marts:
-    """Marts over stored tables. The raw tables are not part of the store."""
+    """Marts over stored tables. The raw tables are not part of the store.
+
+    The tables with ``meter_id_hash`` are joined from facts and homes on the home, the default
+    dimension key.
+    """
     loaded = Marts(schemas.empty(spark, "green_button_interval_readings"))
-    for name in [*SMALL, *FACTS, "hourly_weather"]:
-        loaded.__dict__[name] = spark.read.parquet(f"{path}/{name}")
+    for name in TABLES:
+        if name != "power_hourly":
+            loaded.__dict__[name] = spark.read.parquet(f"{path}/{name}")
+    for name in ("electricity", "gas", "water", "carbon", "weather"):
+        facts = loaded.__dict__[f"{name}_facts"].drop(plans.FAN_OUT)
+        loaded.__dict__[f"fct_{name}"] = plans.with_meter_hash(facts, loaded.homes)
     return loaded

@@ -84,10 +84,14 @@ def power_of(events: DataFrame) -> DataFrame:
     )
 
 
-def _hours(base: DataFrame) -> DataFrame:
-    """Distinct hours as (timestamp, d = day of year, h = hour)."""
-    return (
-        base.select(F.to_date("timestamp").alias("date"), F.hour("timestamp").alias("h"))
+def hours(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Distinct hours of the readings as (timestamp, d = day of year, h = hour).
+
+    Written once, like any landed feed, so that the hourly tables do not read the line items.
+    """
+    distinct = (
+        readings(spark, sf_dir)
+        .select(F.to_date("timestamp").alias("date"), F.hour("timestamp").alias("h"))
         .distinct()
         .select(
             F.expr("cast(date as timestamp_ntz) + make_dt_interval(0, h)").alias("timestamp"),
@@ -95,13 +99,15 @@ def _hours(base: DataFrame) -> DataFrame:
             "h",
         )
     )
+    distinct.write.mode("overwrite").parquet(f"{folder}/hours")
+    return spark.read.parquet(f"{folder}/hours")
 
 
 def _double(value: Column, name: str) -> Column:
     return value.cast("double").alias(name)
 
 
-def weather(base: DataFrame, location: str = "toronto") -> DataFrame:
+def weather(hourly: DataFrame, location: str = "toronto") -> DataFrame:
     """Hourly weather for every hour that has readings."""
     d, h = F.col("d"), F.col("h")
     temperature = (
@@ -111,7 +117,7 @@ def weather(base: DataFrame, location: str = "toronto") -> DataFrame:
     )
     cloud = (d * 7 + h) % 101
     ghi = F.greatest(F.lit(0), 600 - F.abs(h - 12) * 100)
-    return _hours(base).select(
+    return hourly.select(
         F.lit(location).alias("location_name"),
         F.lit(43.65).alias("latitude"),
         F.lit(-79.38).alias("longitude"),
@@ -131,14 +137,14 @@ def weather(base: DataFrame, location: str = "toronto") -> DataFrame:
     )
 
 
-def air_quality(base: DataFrame, location: str = "toronto") -> DataFrame:
+def air_quality(hourly: DataFrame, location: str = "toronto") -> DataFrame:
     """Hourly air quality, with some days missing."""
     d, h = F.col("d"), F.col("h")
     pm = F.when(d % 41 == 0, F.lit(None).cast("int")).when(d % 97 == 0, -1).otherwise((d * 7 + h * 3) % 180)
     uv = F.when(h.between(6, 20), d % 13).otherwise(0)
     index, other = (d * 5 + h) % 130, (d + h) % 100
     return (
-        _hours(base)
+        hourly
         .filter(d % 29 != 0)
         .select(
             F.lit(location).alias("location_name"),
@@ -162,12 +168,12 @@ def air_quality(base: DataFrame, location: str = "toronto") -> DataFrame:
     )
 
 
-def grid(base: DataFrame) -> DataFrame:
+def grid(hourly: DataFrame) -> DataFrame:
     """Hourly grid intensity and generation mix."""
     d, h = F.col("d"), F.col("h")
     total = 15000 + 100 * h
     shares = {"nuclear": 2, "gas": 16, "hydro": 4, "wind": 8, "solar": 32, "biofuel": 32}
-    return _hours(base).select(
+    return hourly.select(
         F.col("timestamp").alias("hour"),
         _double(F.when(d % 67 != 0, 16 + (d * 3 + h * 5) % 90), "co2e_intensity_gco2_per_kwh"),
         _double((d + h) % 101, "clean_pct"),
@@ -218,13 +224,14 @@ def bills_gas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def marts(spark: SparkSession, sf_dir: str, **options) -> Marts:
-    base = readings(spark, sf_dir)
+def marts(spark: SparkSession, sf_dir: str, folder: str, **options) -> Marts:
+    """Marts over the test tables; ``folder`` takes the derived hourly feed."""
+    hourly = hours(spark, sf_dir, folder)
     return Marts(
-        readings=base,
+        readings=readings(spark, sf_dir),
         power=power(spark, sf_dir),
-        weather=weather(base),
-        air_quality=air_quality(base),
-        grid=grid(base),
+        weather=weather(hourly),
+        air_quality=air_quality(hourly),
+        grid=grid(hourly),
         **options,
     )

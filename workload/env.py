@@ -30,7 +30,8 @@ class Env:
     @cached_property
     def marts(self) -> Marts:
         """Marts whose small dimension tables are written once per session."""
-        return star_schema.marts(self.spark, self.sf_dir).settle(self.folder("dims"))
+        folder = self.folder("dims")
+        return star_schema.marts(self.spark, self.sf_dir, folder).settle(folder)
 
     @property
     def readings(self) -> DataFrame:
