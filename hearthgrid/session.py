@@ -28,17 +28,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build(master: str = "local[*]", app: str = "hearthgrid", shuffle_partitions: int = 8) -> SparkSession:
+def build(
+    master: str = "local[*]", app: str = "hearthgrid", shuffle_partitions: int = 8, work: str | None = None
+) -> SparkSession:
     """A local session for tests and the bench."""
-    spark = (
+    builder = (
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if work:
+        builder = builder.config(WORK_DIR_KEY, work)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare(spark)
 
@@ -47,11 +51,16 @@ def work_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by the cluster; a local one only where it is unset."""
     folder = spark.conf.get(WORK_DIR_KEY, None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="hearthgrid-")
-        spark.conf.set(WORK_DIR_KEY, folder)
+        application = spark.sparkContext.applicationId
+        if application not in _own_folders:
+            _own_folders[application] = tempfile.mkdtemp(prefix="hearthgrid-")
+        folder = _own_folders[application]
     return folder.rstrip("/")
 
 
+_own_folders: dict[str, str] = {}
+
+
 def file_length(spark: SparkSession, path: str) -> int | None:
     """Length of a file on any supported file system, None if there is no such path."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
