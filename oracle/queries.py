@@ -703,10 +703,10 @@ ROUNDED = {
     "q_elec_monthly": {"total_kwh": 4, "avg_kwh_per_reading": 6},
     "q_water_monthly": {"total_m3": 4, "total_gallons": 3, "avg_m3_per_reading": 6},
     "q_water_yearly": {"total_m3": 4, "total_gallons": 3},
-    "q_carbon_summary": {"total_kg_co2e": 4, "total_tonnes_co2e": 8, "total_mwh": 6},
-    "q_carbon_daily": {"kg_co2e": 5},
-    "q_carbon_monthly": {"kg_co2e": 4, "tonnes_co2e": 8},
-    "q_carbon_hour_of_day": {"total_kg_co2e": 4},
+    "q_carbon_summary": {"total_kg_co2e": 7, "total_tonnes_co2e": 8, "total_mwh": 6},
+    "q_carbon_daily": {"kg_co2e": 7},
+    "q_carbon_monthly": {"kg_co2e": 7, "tonnes_co2e": 8},
+    "q_carbon_hour_of_day": {"total_kg_co2e": 7},
     "d_daily_by_home": {"daily_kwh": 5, "avg_hourly_kwh": 6, "peak_hourly_kwh": 6},
     "d_monthly_by_home": {"monthly_kwh": 4, "avg_hourly_kwh": 6},
     "d_quality_check": {"total_kwh": 4},
@@ -719,7 +719,7 @@ ROUNDED = {
     "d_daily_degree_days": {"daily_kwh": 4},
     "d_kwh_by_category": {"avg_kwh_per_hour": 6},
     "d_kwh_by_season": {"avg_kwh": 6, "total_kwh": 4},
-    "join_cross_rates": {"tou_cost": 4},
+    "join_cross_rates": {"tou_cost": 7},
     "join_semi_threshold": {"lowest_peak": 6},
     "agg_hourly_power": {"kwh": 6, "avg_watts": 4},
     "agg_hourly_power_thresholds": {"kwh": 6, "avg_watts": 4},
@@ -734,7 +734,7 @@ ROUNDED = {
     "extract_weather": {"kwh": 6},
     "st_hourly_power": {"kwh": 6, "avg_watts": 4},
     "st_charge_sessions": {"avg_watts": 4},
-    "d_daily_carbon": {"daily_kwh": 4, "daily_co2_kg": 5},
+    "d_daily_carbon": {"daily_kwh": 4, "daily_co2_kg": 7},
 }
 
 
