@@ -48,25 +48,3 @@ def read_weather(spark: SparkSession, path, loaded_to: str = C.FIRST_CURSOR, mul
 def read_air_quality(spark: SparkSession, path, loaded_to: str = C.FIRST_CURSOR, multi_line: bool = False) -> DataFrame:
     payloads = spark.read.schema(_schema(C.AIR_QUALITY_FIELDS, False)).option("multiLine", multi_line).json(path)
     return air_quality_rows(payloads, loaded_to)
-
-
-def as_payloads(rows: DataFrame, fields: dict[str, str], scalars: dict[str, str]) -> DataFrame:
-    """The reverse of the readers: one document per location and day, hours in order.
-
-    A day has at most 25 hours, so no document grows with the history.
-    """
-    day = rows.groupBy("location_name", F.to_date("timestamp").alias("day"), *scalars.values()).agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm").alias("time"),
-                    *[F.col(name).alias(field) for field, name in fields.items()],
-                )
-            )
-        ).alias("h")
-    )
-    return day.select(
-        "location_name",
-        *[F.col(name).alias(field) for field, name in scalars.items()],
-        F.struct(*[F.col(f"h.{f}").alias(f) for f in ["time", *fields]]).alias("hourly"),
-    )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hearthgrid import constants as C
 from hearthgrid import schemas
 from hearthgrid.sources import bills, climate, espi_xml, files, meter_csv, power
+from workload.env import as_payloads
 
 FEED = """<?xml version="1.0" encoding="UTF-8"?>
 <feed xmlns="http://www.w3.org/2005/Atom" xmlns:espi="http://naesb.org/espi">
@@ -183,8 +184,8 @@ def test_air_quality_payload_round_trip(spark, tmp_path, rows):
     row = ("toronto", 43.6, -79.4, "America/Toronto")
     data = [row + (t + dt.timedelta(hours=i),) + tuple(float(i + k) for k in range(16)) for i in range(30)]
     raw = spark.createDataFrame(data, schemas.AIR_QUALITY)
-    payloads = climate.as_payloads(raw, {f: f for f in C.AIR_QUALITY_FIELDS},
-                                   {c: c for c in ("latitude", "longitude", "timezone")})
+    payloads = as_payloads(raw, {f: f for f in C.AIR_QUALITY_FIELDS},
+                           {c: c for c in ("latitude", "longitude", "timezone")})
     payloads.write.partitionBy("location_name").json(str(tmp_path / "aq"))
     back = climate.read_air_quality(spark, str(tmp_path / "aq")).select(*raw.columns)
     assert rows(back) == rows(raw)

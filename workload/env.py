@@ -11,7 +11,29 @@ from hearthgrid import session
 from hearthgrid.functions import units
 from hearthgrid.plans.marts import Marts
 from hearthgrid.sinks import tables
-from hearthgrid.sources import climate, star_schema
+from hearthgrid.sources import star_schema
+
+
+def as_payloads(rows: DataFrame, fields: dict[str, str], scalars: dict[str, str]) -> DataFrame:
+    """Documents as the weather and air quality services send them: one per location and day, hours in order.
+
+    A day has at most 25 hours, so no document grows with the history.
+    """
+    day = rows.groupBy("location_name", F.to_date("timestamp").alias("day"), *scalars.values()).agg(
+        F.sort_array(
+            F.collect_list(
+                F.struct(
+                    F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm").alias("time"),
+                    *[F.col(name).alias(field) for field, name in fields.items()],
+                )
+            )
+        ).alias("h")
+    )
+    return day.select(
+        "location_name",
+        *[F.col(name).alias(field) for field, name in scalars.items()],
+        F.struct(*[F.col(f"h.{f}").alias(f) for f in ["time", *fields]]).alias("hourly"),
+    )
 
 
 class Env:
@@ -187,10 +209,10 @@ class Env:
         path = self.folder(kind)
         if kind == "weather":
             scalars = {"latitude": "latitude", "longitude": "longitude", "elevation": "elevation_m", "timezone": "timezone"}
-            rows = climate.as_payloads(self.marts.weather, C.WEATHER_FIELDS, scalars)
+            rows = as_payloads(self.marts.weather, C.WEATHER_FIELDS, scalars)
         else:
             scalars = {c: c for c in ("latitude", "longitude", "timezone")}
-            rows = climate.as_payloads(self.marts.air_quality, {f: f for f in C.AIR_QUALITY_FIELDS}, scalars)
+            rows = as_payloads(self.marts.air_quality, {f: f for f in C.AIR_QUALITY_FIELDS}, scalars)
         rows.write.partitionBy("location_name").json(path)
         return path
 
