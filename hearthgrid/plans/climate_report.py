@@ -182,7 +182,7 @@ def a_hvac_impact_pct(m: Marts) -> DataFrame:
 
 
 def _summer_daytime(m: Marts) -> DataFrame:
-    return m.weather_facts.filter(F.month(ts()).between(6, 8) & F.hour(ts()).between(10, 18))
+    return m.weather_facts.filter(F.col("month").between(6, 8) & F.col("hour").between(10, 18))
 
 
 def a_uv_cooling(m: Marts) -> DataFrame:

@@ -83,7 +83,7 @@ def peak_threshold(m: Marts, p: float = 0.95) -> float | None:
 
 def d_peak_hours(m: Marts, n: int = 20) -> DataFrame:
     """The highest readings among those at or above the 95th percentile."""
-    hour = F.hour(ts())
+    hour = F.col("hour")
     time_of_day = (
         F.when(hour.between(0, 6), "Night")
         .when(hour.between(7, 11), "Morning")
@@ -222,17 +222,19 @@ def d_kwh_by_season(m: Marts) -> DataFrame:
 
 
 def _between_dates(df: DataFrame, first: str | None, last: str | None) -> DataFrame:
-    day = F.to_date(ts())
+    """Rows of the days from first to last, as a range of times that reaches the file scan."""
     if first is not None:
-        df = df.filter(day >= F.lit(first).cast("date"))
-    return df if last is None else df.filter(day <= F.lit(last).cast("date"))
+        df = df.filter(ts() >= F.lit(first).cast("timestamp_ntz"))
+    if last is not None:
+        df = df.filter(ts() < F.lit(last).cast("timestamp_ntz") + F.expr("interval 1 day"))
+    return df
 
 
 def d_solar_daily(m: Marts, first: str | None = None, last: str | None = None) -> DataFrame:
     ghi = F.col("ghi_wm2")
     return (
         _between_dates(m.weather_facts, first, last)
-        .filter(F.hour(ts()).between(6, 20))
+        .filter(F.col("hour").between(6, 20))
         .groupBy(date())
         .agg(
             half_up(W.mean("cloud_cover_pct"), 0).alias("avg_cloud_pct"),
@@ -246,7 +248,7 @@ def d_solar_daily(m: Marts, first: str | None = None, last: str | None = None) -
 
 
 def d_solar_hourly(m: Marts, day: str) -> DataFrame:
-    one_day = m.weather_facts.filter(F.to_date(ts()) == F.lit(day).cast("date")).select(
+    one_day = _between_dates(m.weather_facts, day, day).select(
         "timestamp",
         F.col("kwh").alias("electricity_kwh"),
         "temperature_c",
@@ -264,7 +266,7 @@ def d_solar_hourly(m: Marts, day: str) -> DataFrame:
 def d_sky_condition(m: Marts) -> DataFrame:
     label = F.col("sky_condition")
     return (
-        m.weather_facts.filter(F.hour(ts()).between(10, 16))
+        m.weather_facts.filter(F.col("hour").between(10, 16))
         .groupBy(decode.band(F.col("cloud_cover_pct"), C.SKY_BANDS).alias("sky_condition"))
         .agg(
             W.rows().alias("hours"),
@@ -340,7 +342,7 @@ def d_uv_by_category(m: Marts) -> DataFrame:
 def d_uv_daily(m: Marts, n: int = 20) -> DataFrame:
     uv = F.col("uv_index")
     return (
-        m.weather_facts.filter(F.month(ts()).isin(6, 7, 8))
+        m.weather_facts.filter(F.col("month").isin(6, 7, 8))
         .groupBy(date())
         .agg(
             half_up(W.mean(uv), 1).alias("avg_uv"),
