@@ -1,5 +1,6 @@
 """Keyed merge and incremental load over plain Parquet."""
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,13 +77,17 @@ def merge_partitions(
     folder being read is never overwritten and a failed job leaves the table as it was. All rows
     of a key must lie in one partition, as with a day or month of an event time in the key.
     """
-    if exists(spark, path):
-        touched = [r[0] for r in batch.select(partition).distinct().collect()]  # one value per folder
-        schema = T.StructType([f for f in batch.schema.fields if f.name != partition] + [batch.schema[partition]])
-        current = spark.read.schema(schema).parquet(path).filter(F.col(partition).isin(touched))
-    else:
-        current = batch.limit(0)
-    upsert(current.select(*batch.columns), batch, keys).write.mode("overwrite").parquet(staging)
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for its partitions, then merged
+    try:
+        if exists(spark, path):
+            touched = [r[0] for r in batch.select(partition).distinct().collect()]  # one value per folder
+            schema = T.StructType([f for f in batch.schema.fields if f.name != partition] + [batch.schema[partition]])
+            current = spark.read.schema(schema).parquet(path).filter(F.col(partition).isin(touched))
+        else:
+            current = batch.limit(0)
+        upsert(current.select(*batch.columns), batch, keys).write.mode("overwrite").parquet(staging)
+    finally:
+        batch.unpersist()
     # a partition may hold much of the table: the hint lets several tasks write it
     (
         spark.read.parquet(staging)

@@ -218,6 +218,59 @@ def test_settled_dimensions_are_broadcast_below_the_limit_and_shuffled_above(spa
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+@pytest.fixture
+def small_limits(spark):
+    """Limits at which test-sized partitions count as large."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("hot", ["home", "hour"])
+def test_a_hot_home_or_hour_is_split_over_tasks(spark, tmp_path, small_limits, hot):
+    """Half of all readings in one home, then in one hour, with both dimensions too large to broadcast."""
+    n = F.col("id")
+    varied = F.when(n % 2 == 0, F.lit(0)).otherwise(n % 997)
+    home, hour = (varied, n % 5) if hot == "home" else (n % 997, varied)
+    readings = (
+        spark.range(0, 120_000, 1, 8)
+        .select(
+            F.concat(F.lit("h"), home).alias("home_id"),
+            F.lit(0).alias("usage_point_idx"),
+            n.cast("int").alias("meter_reading_idx"),
+            (F.lit(T).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour.cast("int"))).alias("timestamp"),
+            F.lit(3600).alias("duration_seconds"),
+            (n % 1000 * 125).cast("double").alias("kwh"),
+            n.alias("raw_value"),
+            F.xxhash64("id").cast("double").alias("cost"),
+            F.lit("Q.VALIDATED").alias("quality_code"),
+            F.lit("1").alias("tou_bucket"),
+            F.lit("K.VALUE_1").alias("commodity"),
+            F.lit("U.VALUE_72").alias("uom"),
+            F.lit(None).cast("string").alias("service_kind"),
+            F.lit("m").alias("meter_id"),
+        )
+    )
+    weathers = [weather(T + hours(i), float(i % 30)) for i in range(997)]
+    m = build(spark, [], weathers=weathers)
+    m.readings = readings
+    m = m.settle(str(tmp_path / "dims"))
+    out = m.weather_facts.groupBy("temperature_category").agg(W.total("kwh").alias("kwh"), W.total("cost").alias("c"))
+    total = sum(r["kwh"] for r in out.collect())
+    assert total == sum(i % 1000 for i in range(120_000)) / 8
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_power_cursor(spark, rows):
     data = [power(T, 1.0), power(T + hours(1), 2.0)]
     df = spark.createDataFrame(data, schemas.POWER)
