@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthgrid.operators.merge import latest_per_key
+from hearthgrid.sources.files import home_bucket
 
 _PLAIN = (
     T.ByteType,
@@ -80,6 +81,12 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
+def with_home_bucket(df: DataFrame, buckets: int) -> DataFrame:
+    """A folder column for tables with very many homes: each bucket holds many homes, so the
+    number of folders does not grow with them. Use it in place of home_id when partitioning."""
+    return df.withColumn("home_bucket", home_bucket(F.col("home_id"), buckets))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -3,7 +3,8 @@
 from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearthgrid import schemas
 from hearthgrid.plans.staging import grid_intensity
@@ -57,6 +58,18 @@ def read_grid(spark: SparkSession, path: str) -> DataFrame:
     return grid_intensity(spark.read.schema(schemas.GRID).parquet(path))
 
 
-def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    """A partitioned table; filters on its partition columns skip whole folders."""
-    return spark.read.parquet(path)
+def home_bucket(home_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(home_id), F.lit(buckets)).cast("int")
+
+
+def read_lake(spark: SparkSession, path: str, home_id: str | None = None, buckets: int | None = None) -> DataFrame:
+    """A partitioned table; filters on its partition columns skip whole folders.
+
+    For one home of a table laid out by ``home_bucket`` pass the number of buckets.
+    """
+    lake = spark.read.parquet(path)
+    if home_id is None:
+        return lake
+    if buckets:
+        lake = lake.filter(F.col("home_bucket") == home_bucket(F.lit(home_id), buckets))
+    return lake.filter(F.col("home_id") == home_id)

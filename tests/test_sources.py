@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hearthgrid import constants as C
 from hearthgrid import schemas
 from hearthgrid.sources import bills, climate, espi_xml, files, meter_csv, power
+from hearthgrid.sinks.tables import with_home_bucket
 from workload.env import as_payloads
 
 FEED = """<?xml version="1.0" encoding="UTF-8"?>
@@ -216,6 +217,15 @@ def test_lake_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan
 
 
+def test_lake_of_one_home_reads_one_bucket(spark, tmp_path, rows):
+    df = spark.range(40).selectExpr("concat('h', id % 10) as home_id", "id")
+    path = str(tmp_path / "lake")
+    with_home_bucket(df, 4).write.partitionBy("home_bucket").parquet(path)
+    one = files.read_lake(spark, path, "h3", 4)
+    assert rows(one, "id") == [(13,), (23,), (3,), (33,)]
+    assert "PartitionFilters: [isnotnull(home_bucket" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_grid(spark, tmp_path, rows):
     cols = spark.createDataFrame([], schemas.GRID)
     t = dt.datetime(2024, 1, 1)

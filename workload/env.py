@@ -39,6 +39,8 @@ def as_payloads(rows: DataFrame, fields: dict[str, str], scalars: dict[str, str]
 class Env:
     """Raw tables and marts of one test data folder in one session."""
 
+    LAKE_BUCKETS = 2
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = session.prepare(spark)
         self.sf_dir = sf_dir
@@ -165,7 +167,8 @@ class Env:
     def lake(self) -> str:
         """The electricity mart in Hive layout."""
         path = self.folder("lake")
-        tables.write_partitioned(self.marts.fct_electricity, path, ["home_id", "year", "month"])
+        bucketed = tables.with_home_bucket(self.marts.fct_electricity, self.LAKE_BUCKETS)
+        tables.write_partitioned(bucketed, path, ["home_bucket", "year", "month"])
         return path
 
     @cached_property

@@ -204,8 +204,8 @@ def src_dispatch_format(e: Env) -> DataFrame:
 
 @query
 def src_partitioned_lake(e: Env) -> DataFrame:
-    wanted = (F.col("home_id") == "home-1") & (F.col("year") == 1998)
-    return files.read_lake(e.spark, e.lake).filter(wanted).select("device_id", "timestamp", "kwh", "meter_id_hash")
+    home = files.read_lake(e.spark, e.lake, "home-1", e.LAKE_BUCKETS)
+    return home.filter(F.col("year") == 1998).select("device_id", "timestamp", "kwh", "meter_id_hash")
 
 
 @query
