@@ -712,8 +712,8 @@ ROUNDED = {
     "d_quality_check": {"total_kwh": 4},
     "d_peak_hours": {"kwh": 6},
     "d_partition_daily": {"daily_kwh": 4},
-    "d_heat_pump_cop": {"hvac_kwh": 4, "estimated_cop": 4},
-    "join_date_left": {"hvac_kwh": 4, "estimated_cop": 4},
+    "d_heat_pump_cop": {"hvac_kwh": 4, "estimated_cop": 8},
+    "join_date_left": {"hvac_kwh": 4, "estimated_cop": 8},
     "d_solar_load_shape": {"avg_kwh": 6, "min_kwh": 6, "max_kwh": 6, "stddev_kwh": 6},
     "d_tou_vs_flat": {"daily_kwh": 4, "tou_cost": 7, "flat_cost": 7, "tou_vs_flat_diff": 7},
     "d_daily_degree_days": {"daily_kwh": 4},
@@ -742,6 +742,7 @@ def statement(key: str) -> str:
     sql = SQL[key]
     digits = ROUNDED.get(key)
     if digits:
-        parts = ", ".join(f"round({c}, {d}) as {c}" for c, d in digits.items())
+        # first to six further digits, like every rounding of the library
+        parts = ", ".join(f"round(round({c}, {d + 6}), {d}) as {c}" for c, d in digits.items())
         sql = f"select * replace ({parts}) from ({sql.strip()})"
     return with_relations(sql)
