@@ -1,6 +1,9 @@
 """Shared folder, distributed running sums and text columns of the training-data operators."""
 
 import math
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,6 +34,25 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application; Spark serves the file to all executors."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        folder = tempfile.mkdtemp(prefix="hearthgrid-code-")
+        parent, name = os.path.split(package)
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", parent, name))
+        _shipped.add(application)
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def drop_kept(df: DataFrame) -> None:
     """Remove what keep() wrote, once nothing reads it any more."""
     spark = df.sparkSession

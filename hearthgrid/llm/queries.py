@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, merkle, mixing, secrets
+from . import common, merkle, mixing, packing, secrets, toxicity
 
 
 def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -14,6 +14,8 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[Sp
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _over("documents", mixing.digest),
     "op3_secrets": _over("documents", secrets.digest),
+    "op4_packing": _over("documents", packing.digest),
+    "op9_toxicity": lambda spark, sf_dir: toxicity.digest(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")),
     "op10_merkle": _over("documents", merkle.digest),
 }
 SQL: dict[str, str] = {"op1_mixing": mixing.SQL}
