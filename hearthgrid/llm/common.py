@@ -1,5 +1,6 @@
 """Shared folder, distributed running sums and text columns of the training-data operators."""
 
+import gc
 import math
 import os
 import shutil
@@ -31,6 +32,9 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    # shuffle files that led here can go: Spark's cleaner removes those of plans that are garbage
+    gc.collect()
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
