@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, merkle, mixing, packing, repeats, secrets, toxicity
+from . import common, merkle, mixing, packing, repeats, secrets, suffixes, toxicity
 
 
 def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": _over("documents", secrets.digest),
     "op4_packing": _over("documents", packing.digest),
     "op6_repeats": _over("documents", repeats.digest),
+    "op7_suffixes": _over("documents", suffixes.digest),
     "op9_toxicity": lambda spark, sf_dir: toxicity.digest(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")),
     "op10_merkle": _over("documents", merkle.digest),
 }
