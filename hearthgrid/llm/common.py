@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +59,57 @@ def map_arrow(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def map_sorted(df: DataFrame, key: str, function, schema) -> DataFrame:
+    """Call `function` with all rows of each key (an Arrow table; bounded by what `df` puts under a key).
+
+    Rows are sorted by key inside partitions and streamed, so a task holds one key and one batch at a time.
+    """
+
+    def stream(batches):
+        held, number = [], None
+        for batch in batches:
+            keys = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a == b:
+                    continue
+                if held and keys[a] != number:
+                    yield from function(pa.Table.from_batches(held))
+                    held = []
+                number = keys[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from function(pa.Table.from_batches(held))
+
+    return map_arrow(df.repartition(F.col(key)).sortWithinPartitions(key), stream, schema)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root): the smallest node that each node of the links (a, b) is connected with.
+
+    Alternating stars: each node hands its neighbours the smallest one it knows, first to the larger and then to the
+    smaller side, until every link points to a root. Links never grow in number; rounds grow with their logarithm.
+    """
+    links = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    links, state = keep(links, "links"), None
+    while True:
+        both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.unionAll(low.filter("m < u").select("u", F.col("m").alias("v"))).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.unionAll(low.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
+        following = keep(small, "links")
+        drop_kept(links)
+        links = following
+        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == state:
+            break
+        state = now
+    return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
 def drop_kept(df: DataFrame) -> None:
     """Remove what keep() wrote, once nothing reads it any more."""
     spark = df.sparkSession
