@@ -5,11 +5,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from hearthgrid import session
-from hearthgrid.llm import common, mixing, secrets
+from hearthgrid.llm import common, jaccard, mixing, packing, secrets, toxicity
 
 STAGES = [
+    ("toxicity", lambda spark, docs, sf_dir: toxicity.stage(docs, common.table(spark, sf_dir, "labels"))),
+    ("near-copies", lambda spark, docs, sf_dir: jaccard.stage(docs)),
     ("secrets", lambda spark, docs, sf_dir: secrets.stage(docs)),
     ("mixing", lambda spark, docs, sf_dir: mixing.stage(docs)),
+    ("packing", lambda spark, docs, sf_dir: packing.digest(docs)),
 ]
 #: The stages learn from labels and hash, which SQL cannot express; the tests hold them against plain versions.
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, jaccard, merkle, mixing, packing, repeats, secrets, suffixes, toxicity
+from . import common, jaccard, licences, merkle, mixing, packing, repeats, secrets, suffixes, toxicity, vectors
 
 
 def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -13,11 +13,13 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[Sp
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _over("documents", mixing.digest),
+    "op2_vectors": _over("embeddings", vectors.digest),
     "op3_secrets": _over("documents", secrets.digest),
     "op4_packing": _over("documents", packing.digest),
     "op5_jaccard": _over("documents", jaccard.digest),
     "op6_repeats": _over("documents", repeats.digest),
     "op7_suffixes": _over("documents", suffixes.digest),
+    "op8_licences": _over("documents", licences.digest),
     "op9_toxicity": lambda spark, sf_dir: toxicity.digest(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")),
     "op10_merkle": _over("documents", merkle.digest),
 }
