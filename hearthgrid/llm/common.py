@@ -34,10 +34,14 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    # shuffle files that led here can go: Spark's cleaner removes those of plans that are garbage
+    sweep(spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of plans that nothing refers to any more."""
     gc.collect()
     spark._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
 
 
 _shipped: set[str] = set()

@@ -320,8 +320,10 @@ def join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, reca
     sets = grouped.agg(first, F.count(F.lit(1)).alias("copies"), F.first("small").alias("small"), F.first("large").alias("large"))
     sets = with_bytes(sets.select("size", "f1", "f2", "_first.first", "_first.k1", "copies", "small", "large"))
     while True:
+        common.sweep(docs.sparkSession)
         tiled = tiles(leaves(sets, range(runs)))
         open_rows = common.keep(near(tiled, sets, threshold), "open")
+        common.sweep(docs.sparkSession)
         wanted = sets.join(open_rows.select("id").distinct(), "id", "left_semi")
         links = common.keep(verify(open_rows, hashes_of(base, wanted, words), threshold), "links")
         met = links.filter("what = 2").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("a", "b", "n")]).first()

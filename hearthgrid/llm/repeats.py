@@ -36,7 +36,11 @@ def half_windows(docs: DataFrame, length: int) -> DataFrame:
     width = length - half + 1
 
     def read(batches):
+        seen: set[tuple[int, int]] = set()  # of one task; further copies of a text add nothing
         for batch in batches:
+            copies = list(zip(batch[1].to_pylist(), batch[2].to_pylist(), strict=True))
+            fresh = [i for i, c in enumerate(copies) if c not in seen and not seen.add(c)]
+            batch = batch.take(pa.array(fresh, pa.int64()))
             keys = batch[1].to_numpy(zero_copy_only=False)
             for first, data, offsets in grams.groups(batch[0]):
                 hashes, words = grams.word_hashes(data, offsets)
@@ -51,7 +55,7 @@ def half_windows(docs: DataFrame, length: int) -> DataFrame:
                     [pa.array(_signed(h[at])), pa.array(keys[first + doc]), pa.array((at - words[doc]).astype(np.int32))], ["h", "k1", "at"]
                 )
 
-    return common.map_arrow(docs.select("text", "k1"), read, "h long, k1 long, at int")
+    return common.map_arrow(docs.select("text", "k1", "k2"), read, "h long, k1 long, at int")
 
 
 def _candidates(text: bytes, places: list[int], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,6 +154,7 @@ def covered(n: int, starts, length: int) -> np.ndarray:
 def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of each document."""
     settled = settle(docs, length)
+    common.sweep(docs.sparkSession)
     rest = settled.filter("open = 2").select("doc_id", "n_words", "text", "row").join(repeated(settled, length), "row", "left")
 
     def cut(batches):
