@@ -27,8 +27,8 @@ SAMPLE = 10_000  # labelled rows of each class that the classifier is fitted on
 FEATURES = 20_000  # most features it keeps
 # Characters and the letters they stand for.
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "+": "t", "|": "il", "(": "c"}
-# Log costs of the channel.
-LOOKALIKE, NOISE, REPEAT = -1.0, -3.0, -0.5
+# Log costs of the channel. Letters are stretched to three or more, seldom to two.
+LOOKALIKE, NOISE, STRETCHED, DOUBLED = -1.0, -7.0, -0.5, -4.0
 SIZE = 64  # symbols: 0 ends a word, 1 to 26 a to z, then the letters from U+00DF to U+00FF
 LETTERS = {**{chr(97 + i): i + 1 for i in range(26)}, **{chr(0xDF + i): 27 + i for i in range(33) if i != 0xF7 - 0xDF}}
 WORD = re.compile(r"[^\W\d_]{2,}")
@@ -75,7 +75,9 @@ def trigrams(docs: DataFrame) -> np.ndarray:
 def restore(stretch: str, model: np.ndarray) -> str:
     """The best letters for a stretch: Viterbi over its lattice, states are the last two letters."""
     states = {(0, 0): (0.0, "", "")}
-    for char in stretch.lower():
+    lower = stretch.lower()
+    runs = {i for m in re.finditer(r"(.)\1\1+", lower) for i in range(*m.span())}
+    for place, char in enumerate(lower):
         options = [(char, 0.0)] if char in LETTERS else [(c, LOOKALIKE) for c in LOOKS.get(char, "")]
         following: dict = {}
 
@@ -88,7 +90,7 @@ def restore(stretch: str, model: np.ndarray) -> str:
                 c = LETTERS[letter]
                 offer((b, c), score + cost + float(model[a, b, c]), out + letter, letter)
             if last and any(letter == last for letter, _ in options):
-                offer((a, b), score + REPEAT, out, last)
+                offer((a, b), score + (STRETCHED if place in runs else DOUBLED), out, last)
             if char not in LETTERS:
                 offer((a, b), score + (NOISE if char.isalnum() or char in LOOKS else 0.0), out, last)
         states = dict(sorted(following.items(), key=lambda s: -s[1][0])[:32]) or states
@@ -131,32 +133,39 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = SAM
     if len(sizes) < 2:
         return {}, math.log(rate / (1 - rate))
 
-    def read(batches):
+    # both sides of the join are bounded by the sample
+    sampled = docs.join(F.broadcast(rows), "doc_id").select("text", "toxic")
+
+    def spread(batches):
         words = reader(model)
         for batch in batches:
-            found = [sorted({f for w in words(t.as_py() or "") for f in features(w)}) for t in batch[0]]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), batch[1]], ["found", "toxic"])
-
-    # both sides of the join are bounded by the sample; each document is counted once by feature and class
-    sampled = common.map_arrow(docs.join(F.broadcast(rows), "doc_id").select("text", "toxic"), read, "found array<string>, toxic int")
-    sampled = sampled.collect()
-    y = np.array([r["toxic"] for r in sampled], dtype=float)
-    if not 0 < y.sum() < len(y):
+            for text, toxic in zip(batch[0], batch[1], strict=True):
+                found = sorted({f for w in words(text.as_py() or "") for f in features(w)})
+                n = len(found)
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([toxic.as_py()] * n, pa.int32())], ["feature", "toxic"])
+
+    classes = {r["toxic"]: r["n"] for r in sampled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(classes) < 2:
         return {}, math.log(rate / (1 - rate))
-    seen: dict[str, list[int]] = {}
-    for i, r in enumerate(sampled):
-        for f in r["found"]:
-            seen.setdefault(f, []).append(i)
-    positive, negative = y.sum(), len(y) - y.sum()
-
-    def strength(at: list[int]) -> float:
-        p = y[at].sum()
-        return abs(math.log((p + 0.5) / (positive + 1)) - math.log((len(at) - p + 0.5) / (negative + 1))) * math.sqrt(len(at))
-
-    ranked = sorted(((strength(at), f) for f, at in seen.items() if len(at) >= 3), reverse=True)
-    chosen = [f for s, f in ranked[:most] if s >= 4]
-    where = np.concatenate([np.array(seen[f]) for f in chosen] or [np.zeros(0, dtype=int)])
-    which = np.repeat(np.arange(len(chosen)), [len(seen[f]) for f in chosen])
+    negative, positive = classes[0], classes[1]
+    seen = common.map_arrow(sampled, spread, "feature string, toxic int").groupBy("feature").agg(F.sum("toxic").alias("p"), F.count(F.lit(1)).alias("n"))
+    apart = F.abs(F.log((F.col("p") + 0.5) / (positive + 1)) - F.log((F.col("n") - F.col("p") + 0.5) / (negative + 1))) * F.sqrt("n")
+    strong = seen.filter("n >= 3").withColumn("apart", apart).filter("apart >= 4").orderBy(F.desc("apart"), "feature").limit(most)
+    chosen = [r["feature"] for r in strong.select("feature").collect()]
+    number = {f: i for i, f in enumerate(chosen)}
+    shared = docs.sparkSession.sparkContext.broadcast(number)
+
+    def read(batches):
+        words = reader(model)
+        for batch in batches:
+            found = [sorted({shared.value[f] for w in words(t.as_py() or "") for f in features(w) if f in shared.value}) for t in batch[0]]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch[1]], ["found", "toxic"])
+
+    read_rows = common.map_arrow(sampled, read, "found array<int>, toxic int").toArrow()
+    y = read_rows["toxic"].to_numpy().astype(float)
+    lists = read_rows["found"].combine_chunks()
+    which = lists.flatten().to_numpy()
+    where = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()))
     per_row = np.where(y > 0, sizes[1] / positive, sizes[0] / negative)
     per_row = per_row / per_row.mean()
     # gradient steps with a diagonal bound on the curvature
