@@ -73,13 +73,6 @@ def day_of_week(ts: Column) -> Column:
 
 
 def half_up(value: Column, digits: int) -> Column:
-    """Decimal rounding of doubles by scaling: scale up, round half away from zero, scale down.
-
-    The last bits of a sum depend on the order in which partitions arrive. The value is first
-    taken to six further digits, so a sum on the edge rounds the same way in every run.
-    """
-
-    def scaled(x: Column, scale: float) -> Column:
-        return F.round(x * scale) / scale
-
-    return scaled(scaled(value, 10.0 ** (digits + 6)), 10.0**digits)
+    """Decimal rounding of doubles by scaling: scale up, round half away from zero, scale down."""
+    scale = 10.0**digits
+    return F.round(value * scale) / scale

@@ -43,25 +43,79 @@ def mean(value: Column | str) -> Column:
     return F.try_divide(total(value), F.sum(F.when(value.isNotNull(), _weight())))
 
 
-def stddev(column: str) -> Column:
-    """Sample standard deviation"""
-    x = F.col(column)
-    n = F.sum(F.when(x.isNotNull(), _weight())).cast("double")
-    spread = total(x * x) - F.try_divide(total(x) * total(x), n)
-    return F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), n - 1))
-
-
-def corr(left: str, right: str) -> Column:
-    """Pearson correlation over the rows where both values are present; null if one is constant."""
-    both = F.col(left).isNotNull() & F.col(right).isNotNull()
-    w = F.when(both, _weight())
-    x, y = F.col(left), F.col(right)
-    n = F.sum(w).cast("double")
-    sx, sy = F.sum(x * w), F.sum(y * w)
-    co = n * F.sum(x * y * w) - sx * sy
-    vx = n * F.sum(x * x * w) - sx * sx
-    vy = n * F.sum(y * y * w) - sy * sy
-    return F.try_divide(co, F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0))))
+# Spreads and correlations in two steps. Rows of equal weight are aggregated by the built-in functions, whose partial
+# results merge without cancellation; the few results of a group (one per weight) are then combined around their common
+# mean.
+
+
+def parts(df: DataFrame, keys: list, *columns: str, pairs: tuple[tuple[str, str], ...] = (), more: tuple[Column, ...] = ()) -> DataFrame:
+    """First step: moments of columns and pairs by keys and weight, and any other aggregates."""
+    moments = []
+    for c in columns:
+        moments.append(F.struct(F.count(c).alias("n"), F.avg(c).alias("x"), F.var_pop(c).alias("xx"), F.min(c).alias("x_low"), F.max(c).alias("x_high")).alias(f"_m_{c}"))
+    for a, b in pairs:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+        moments.append(
+            F.struct(
+                F.count(x).alias("n"), F.avg(x).alias("x"), F.avg(y).alias("y"),
+                F.var_pop(x).alias("xx"), F.var_pop(y).alias("yy"), F.covar_pop(x, y).alias("xy"),
+                F.min(x).alias("x_low"), F.max(x).alias("x_high"), F.min(y).alias("y_low"), F.max(y).alias("y_high"),
+            ).alias(f"_m_{a}_{b}")
+        )
+    return df.groupBy(*keys, FAN_OUT).agg(F.count(F.lit(1)).alias("_rows"), *moments, *more)
+
+
+def part_rows() -> Column:
+    """COUNT(*), second step"""
+    return F.coalesce(F.sum(F.col("_rows") * _weight()), F.lit(0).cast("bigint"))
+
+
+def _collected(name: str) -> Column:
+    return F.collect_list(F.when(F.col(f"{name}.n") > 0, F.col(name).withField("w", _weight())))
+
+
+def _sum(items: Column, value) -> Column:
+    return F.aggregate(items, F.lit(0.0), lambda acc, p: acc + value(p))
+
+
+def _field(items: Column, name: str) -> Column:
+    return F.transform(items, lambda p: p[name])
+
+
+def _count(items: Column) -> Column:
+    return _sum(items, lambda p: p["w"] * p["n"])
+
+
+def part_mean(column: str) -> Column:
+    """AVG(column), second step"""
+    items = _collected(f"_m_{column}")
+    return F.try_divide(_sum(items, lambda p: p["w"] * p["n"] * p["x"]), _count(items))
+
+
+def _around(items: Column, a: str, b: str) -> Column:
+    """Sum of products of deviations from the common means; exactly 0 if one is constant."""
+    n = _count(items)
+    mean_a = F.try_divide(_sum(items, lambda p: p["w"] * p["n"] * p[a]), n)
+    mean_b = F.try_divide(_sum(items, lambda p: p["w"] * p["n"] * p[b]), n)
+    constant = F.lit(False)
+    for c in {a, b}:
+        low, high = (_field(items, s) for s in (f"{c}_low", f"{c}_high"))
+        constant |= F.array_min(low) == F.array_max(high)
+    around = _sum(items, lambda p: p["w"] * p["n"] * (p[a + b] + (p[a] - mean_a) * (p[b] - mean_b)))
+    return F.when(constant, 0.0).otherwise(around)
+
+
+def part_stddev(column: str) -> Column:
+    """Sample standard deviation, second step"""
+    items = _collected(f"_m_{column}")
+    return F.sqrt(F.try_divide(_around(items, "x", "x"), F.when(_count(items) > 1, _count(items) - 1)))
+
+
+def part_corr(left: str, right: str) -> Column:
+    """Pearson correlation over the rows where both values are present, second step; null if one is constant."""
+    items = _collected(f"_m_{left}_{right}")
+    return F.try_divide(_around(items, "x", "y"), F.sqrt(_around(items, "x", "x")) * F.sqrt(_around(items, "y", "y")))
 
 
 def repeat(df: DataFrame, at_most: int | None = None) -> DataFrame:

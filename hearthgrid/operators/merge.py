@@ -1,23 +1,21 @@
 """Keyed merge and incremental load over plain Parquet."""
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthgrid.constants import FIRST_CURSOR
-from hearthgrid.session import exists
+from hearthgrid.session import exists, remove
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the one with the greatest ``order`` tuple.
 
-    An aggregate, not a ranking window: copies of a key are reduced in the map stage, so a key
-    with very many copies sends one row per task.
+    The limit of one row per key is applied in the map stage first, so a key with very many copies sends one row per
+    task; each column travels once.
     """
-    rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_best")
-    return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order])))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], ties: list[str] = ()) -> DataFrame:
@@ -44,18 +42,25 @@ def high_water(target: DataFrame, time: str, per: list[str] = ()) -> DataFrame:
     return target.groupBy(*per).agg(F.max(time).alias("_loaded_to"))
 
 
-def newer_than(batch: DataFrame, target: DataFrame, time: str, per: list[str] = ()) -> DataFrame:
+def newer_than(
+    batch: DataFrame, target: DataFrame, time: str, per: list[str] = (), start: str | None = None
+) -> DataFrame:
     """Rows of the batch after the latest loaded time of their key.
 
-    A key that was never loaded starts at the first cursor position.
+    A key that was never loaded is taken whole, or from `start` on where given. `target` may be the loaded table or a
+    small table of marks kept by `advance`.
     """
-    start = F.lit(FIRST_CURSOR).cast("timestamp_ntz")
-    if per:
-        mark = high_water(target, time, per)
-        joined = batch.join(mark, list(per), "left")
-        return joined.filter(F.col(time) > F.coalesce("_loaded_to", start)).select(*batch.columns)
-    loaded_to = target.agg(F.max(time)).first()[0]
-    return batch.filter(F.col(time) > (start if loaded_to is None else F.lit(loaded_to).cast("timestamp_ntz")))
+    first = F.lit(True) if start is None else F.col(time) > F.lit(start).cast("timestamp_ntz")
+    mark = target if "_loaded_to" in target.columns else high_water(target, time, per)
+    joined = batch.join(mark, list(per), "left") if per else batch.join(F.broadcast(mark))
+    newer = F.when(F.col("_loaded_to").isNull(), first).otherwise(F.col(time) > F.col("_loaded_to"))
+    return joined.filter(newer).select(*batch.columns)
+
+
+def advance(marks: DataFrame, batch: DataFrame, time: str, per: list[str]) -> DataFrame:
+    """Marks (one row per key) after a load, from the old marks and the batch alone."""
+    fresh = high_water(batch, time, per)
+    return marks.unionByName(fresh).groupBy(*per).agg(F.max("_loaded_to").alias("_loaded_to"))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -73,9 +78,10 @@ def merge_partitions(
 ) -> None:
     """Merge a batch into a table partitioned by ``partition``, rewriting only touched partitions.
 
-    The merged partitions are written to ``staging`` first and then replace the old ones, so the
-    folder being read is never overwritten and a failed job leaves the table as it was. All rows
-    of a key must lie in one partition, as with a day or month of an event time in the key.
+    The merged partitions are written to ``staging`` first and then replace the old ones one after the other, so the
+    folder being read is never overwritten. A failure before the replacement leaves the table as it was, one during it
+    leaves some partitions new; repeating the merge completes it. ``staging`` is removed at the end. All rows of a key
+    must lie in one partition, as with a day or month of an event time in the key.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for its partitions, then merged
     try:
@@ -97,3 +103,4 @@ def merge_partitions(
         .partitionBy(partition)
         .parquet(path)
     )
+    remove(spark, staging)

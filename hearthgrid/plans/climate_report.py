@@ -105,22 +105,23 @@ def a_daily_patterns_30(m: Marts, n: int = 30) -> DataFrame:
 
 def a_temp_bins_5c(m: Marts, width: int = 5) -> DataFrame:
     return (
-        _matched(m)
-        .groupBy((F.floor(temp() / width) * width).cast("double").alias("temp_bin"))
+        W.parts(_matched(m), [(F.floor(temp() / width) * width).cast("double").alias("temp_bin")], "kwh")
+        .groupBy("temp_bin")
         .agg(
-            W.rows().alias("hours"),
-            half_up(W.mean("kwh"), 2).alias("avg_kwh"),
-            half_up(W.stddev("kwh"), 2).alias("stddev_kwh"),
+            W.part_rows().alias("hours"),
+            half_up(W.part_mean("kwh"), 2).alias("avg_kwh"),
+            half_up(W.part_stddev("kwh"), 2).alias("stddev_kwh"),
         )
         .orderBy("temp_bin")
     )
 
 
 def a_correlations(m: Marts) -> DataFrame:
-    return _matched(m).agg(
-        half_up(W.corr("temperature_c", "kwh"), 3).alias("temp_kwh_corr"),
-        half_up(W.corr("hdh", "kwh"), 3).alias("hdh_kwh_corr"),
-        half_up(W.corr("cdh", "kwh"), 3).alias("cdh_kwh_corr"),
+    pairs = tuple((c, "kwh") for c in ("temperature_c", "hdh", "cdh"))
+    return W.parts(_matched(m), [], pairs=pairs).agg(
+        half_up(W.part_corr("temperature_c", "kwh"), 3).alias("temp_kwh_corr"),
+        half_up(W.part_corr("hdh", "kwh"), 3).alias("hdh_kwh_corr"),
+        half_up(W.part_corr("cdh", "kwh"), 3).alias("cdh_kwh_corr"),
     )
 
 

@@ -345,7 +345,11 @@ def q_combined_monthly_energy(m: Marts) -> DataFrame:
 def q_daily_energy_vs_temp(m: Marts) -> DataFrame:
     return (
         m.weather_facts.groupBy(grain("day", "date"))
-        .agg(half_up(W.total("kwh"), 2).alias("total_kwh"), half_up(W.mean("temperature_c"), 1).alias("avg_temp"))
+        .agg(
+            # summed in decimals, so that a sum on the edge rounds alike whatever order rows arrive in
+            half_up(W.total(F.col("kwh").cast("decimal(20,9)")).cast("double"), 2).alias("total_kwh"),
+            half_up(W.mean("temperature_c"), 1).alias("avg_temp"),
+        )
         .orderBy("date")
     )
 
@@ -376,8 +380,10 @@ def q_monthly_heating_energy(m: Marts) -> DataFrame:
 
 
 def q_temp_usage_stats(m: Marts) -> DataFrame:
-    return m.weather_facts.filter(F.col("temperature_c").isNotNull()).agg(
-        half_up(W.corr("temperature_c", "kwh"), 3).alias("temperature_correlation"),
-        F.count_distinct(grain("day")).alias("days_analyzed"),
-        half_up(W.mean("kwh"), 2).alias("avg_hourly_kwh"),
+    # by day and weight first: few rows, which also tell the number of days
+    matched = m.weather_facts.filter(F.col("temperature_c").isNotNull())
+    return W.parts(matched, [grain("day").alias("day")], "kwh", pairs=(("temperature_c", "kwh"),)).agg(
+        half_up(W.part_corr("temperature_c", "kwh"), 3).alias("temperature_correlation"),
+        F.count_distinct("day").alias("days_analyzed"),
+        half_up(W.part_mean("kwh"), 2).alias("avg_hourly_kwh"),
     )

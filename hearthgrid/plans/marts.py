@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthgrid import constants as C
+from hearthgrid import schemas
 from hearthgrid.functions import decode, units
 from hearthgrid.functions.weighted import FAN_OUT
 from hearthgrid.plans import staging
@@ -302,6 +303,14 @@ class Marts:
     dim_key: str = "home"
     weather_tz: str | None = None
 
+    def __post_init__(self):
+        """Feeds that have not arrived are empty tables."""
+        spark = self.readings.sparkSession
+        absent = {"weather": "weather_hourly", "air_quality": "air_quality_hourly", "grid": "fct_co2_intensity"}
+        for name, table in absent.items():
+            if getattr(self, name) is None:
+                setattr(self, name, schemas.empty(spark, table))
+
     def settle(self, path: str) -> "Marts":
         """Write the small dimension tables once and read them back.
 
@@ -334,7 +343,8 @@ class Marts:
         return climate(self.weather, self.air_quality, self.weather_tz)
 
     def _facts(self, sources, columns) -> DataFrame:
-        return with_fan_out(sources, self.meters, self.dim_key).select(*columns(FAN_OUT))
+        # the meter stays, so that stored facts can be joined to their own
+        return with_fan_out(sources, self.meters, self.dim_key).select(*columns(FAN_OUT), "meter_id")
 
     def _fct(self, sources, columns) -> DataFrame:
         return with_meter_hash(sources, self.homes, self.dim_key).select(*columns("meter_id_hash"))

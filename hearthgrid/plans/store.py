@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from hearthgrid import schemas
 from hearthgrid.plans import marts as plans
 from hearthgrid.plans.marts import Marts
+from hearthgrid.session import exists
 
 # tables that can be built side by side, step after step
 STEPS = [
@@ -16,6 +17,7 @@ STEPS = [
     ["electricity_facts", "gas_facts", "water_facts"],
     ["carbon_facts", "weather_facts", "hourly_weather"],
 ]
+RAW = ["weather", "air_quality"]  # small hourly series that some reports read themselves
 TABLES = [name for step in STEPS for name in step]
 
 
@@ -39,6 +41,10 @@ def save(marts: Marts, path: str, partition_by: tuple[str, ...] = ()) -> None:
             writer = df.write
         writer.mode("overwrite").parquet(f"{path}/{name}")
 
+    settings = spark.createDataFrame([(marts.dim_key,)], "dim_key string")
+    settings.write.mode("overwrite").parquet(f"{path}/settings")
+    for name in RAW:
+        getattr(marts, name).write.mode("overwrite").parquet(f"{path}/{name}")
     for step in STEPS:
         with ThreadPoolExecutor(len(step)) as pool:
             list(pool.map(write, step))
@@ -48,16 +54,17 @@ def save(marts: Marts, path: str, partition_by: tuple[str, ...] = ()) -> None:
 
 
 def load(spark: SparkSession, path: str) -> Marts:
-    """Marts over stored tables. The raw tables are not part of the store.
+    """Marts over stored tables. Of the raw tables, weather and air quality are given too where the store has them.
 
-    The tables with ``meter_id_hash`` are joined from facts and homes on the home, the default
-    dimension key.
+    The tables with ``meter_id_hash`` are joined from facts and homes by the dimension key they were saved with.
     """
-    loaded = Marts(schemas.empty(spark, "green_button_interval_readings"))
+    dim_key = spark.read.parquet(f"{path}/settings").first()["dim_key"]
+    raw = {name: spark.read.parquet(f"{path}/{name}") for name in RAW if exists(spark, f"{path}/{name}")}
+    loaded = Marts(schemas.empty(spark, "green_button_interval_readings"), dim_key=dim_key, **raw)
     for name in TABLES:
         if name != "power_hourly":
             loaded.__dict__[name] = spark.read.parquet(f"{path}/{name}")
     for name in ("electricity", "gas", "water", "carbon", "weather"):
         facts = loaded.__dict__[f"{name}_facts"].drop(plans.FAN_OUT)
-        loaded.__dict__[f"fct_{name}"] = plans.with_meter_hash(facts, loaded.homes)
+        loaded.__dict__[f"fct_{name}"] = plans.with_meter_hash(facts, loaded.homes, dim_key).drop("meter_id")
     return loaded

@@ -136,13 +136,18 @@ def d_heat_pump_cop(m: Marts, sensors: DataFrame, device: str = "%hvac%", repeat
 
 def d_solar_load_shape(m: Marts) -> DataFrame:
     return (
-        m.electricity_facts.filter(F.col("hour").between(9, 17))
+        W.parts(
+            m.electricity_facts.filter(F.col("hour").between(9, 17)),
+            ["hour", "month"],
+            "kwh",
+            more=(F.min("kwh").alias("low"), F.max("kwh").alias("high")),
+        )
         .groupBy("hour", "month")
         .agg(
-            W.mean("kwh").alias("avg_kwh"),
-            F.min("kwh").alias("min_kwh"),
-            F.max("kwh").alias("max_kwh"),
-            W.stddev("kwh").alias("stddev_kwh"),
+            W.part_mean("kwh").alias("avg_kwh"),
+            F.min("low").alias("min_kwh"),
+            F.max("high").alias("max_kwh"),
+            W.part_stddev("kwh").alias("stddev_kwh"),
         )
         .orderBy("month", "hour")
     )

@@ -45,6 +45,7 @@ GRID = (
     + ", has_ieso boolean, has_gridwatch boolean"
 )
 
+# Table names, columns and keys as the feeds and users know them.
 SCHEMAS = {
     "green_button_interval_readings": READINGS,
     "power_monitoring": POWER,
@@ -62,13 +63,19 @@ PRIMARY_KEYS = {
     "utility_bill_monthly_electricity": ["home_id", "month_end_date"],
     "utility_bill_monthly_gas": ["home_id", "month_end_date"],
 }
-# keys of the exported tables
-EXPORT_KEYS = {
+# Keys that exported tables had, coarser than the grain of the facts; rows that share one are lost.
+PARITY_EXPORT_KEYS = {
     "fct_electricity_consumption": ["home_id", "timestamp"],
     "fct_gas_consumption": ["home_id", "timestamp"],
     "fct_water_consumption": ["home_id", "timestamp"],
     "fct_utility_consumption": ["home_id", "commodity", "timestamp"],
 }
+# keys of the exported tables: the grain of the facts
+EXPORT_KEYS = {
+    "fct_electricity_consumption": ["home_id", "source", "device_id", "meter_id_hash", "timestamp"],
+    "fct_gas_consumption": ["home_id", "device_id", "meter_id_hash", "timestamp"],
+    "fct_water_consumption": ["home_id", "device_id", "meter_id_hash", "timestamp"],
+}
 # columns that must be present in every row
 REQUIRED = {
     "green_button_interval_readings": ["home_id", "timestamp", "kwh"],

@@ -1,9 +1,11 @@
 """Session set-up and the shared work folder."""
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 WORK_DIR_KEY = "spark.checkpoint.dir"
 
@@ -53,9 +55,11 @@ def build(
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder all executors share, named by the cluster; a local one only where it is unset."""
+    """The folder all executors share, named by the cluster; a temporary one only for a local session without it."""
     folder = spark.conf.get(WORK_DIR_KEY, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError(f"set {WORK_DIR_KEY} to a folder that all executors share")
         application = spark.sparkContext.applicationId
         if application not in _own_folders:
             _own_folders[application] = tempfile.mkdtemp(prefix="hearthgrid-")
@@ -66,6 +70,24 @@ def work_dir(spark: SparkSession) -> str:
 _own_folders: dict[str, str] = {}
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, as `_metadata.file_path` names it once file_key() has been applied."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return re.sub("^file:/+", "file:/", fs.makeQualified(target).toUri().toString()).rstrip("/")
+
+
+def file_key(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def remove(spark: SparkSession, path: str, when_done: bool = False) -> None:
+    """Delete a folder on any supported file system, now or when the application ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.deleteOnExit(target) if when_done else fs.delete(target, True)
+
+
 def file_length(spark: SparkSession, path: str) -> int | None:
     """Length of a file on any supported file system, None if there is no such path."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

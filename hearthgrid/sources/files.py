@@ -1,6 +1,6 @@
 """Configured meter files, exported tables, grid tables, and the registry of readers."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hearthgrid import schemas
 from hearthgrid.plans.staging import grid_intensity
-from hearthgrid.session import file_length
+from hearthgrid.session import file_length, qualified
 from hearthgrid.sources import espi_xml, meter_csv
 
 DEFAULT_FORMAT = "greenbutton_xml"
@@ -40,13 +40,15 @@ def plan_files(spark: SparkSession, files: list[dict]) -> tuple[dict, list]:
 def read_configured(spark: SparkSession, files: list[dict]) -> tuple[DataFrame, list]:
     """Readings of all configured files, one scan per format.
 
-    Each entry has path, home_id and optionally format; files are told apart by name.
+    Each entry has path, home_id and optionally format; files are told apart by their whole path.
     """
     by_format, skipped = plan_files(spark, files)
     parts = []
     for kind, entries in by_format.items():
-        pairs = [(e["path"].rstrip("/").rsplit("/", 1)[-1], e["home_id"]) for e in entries]
-        homes = spark.createDataFrame(pairs, "file_name string, home_id string")
+        pairs = [(qualified(spark, e["path"]), e["home_id"]) for e in entries]
+        if twice := {p for p, n in Counter(p for p, _ in pairs).items() if n > 1}:
+            raise ValueError(f"files listed twice: {sorted(twice)}")
+        homes = spark.createDataFrame(pairs, "file_path string, home_id string")
         parts.append(READERS[kind](spark, [e["path"] for e in entries], homes))
     if not parts:
         return schemas.empty(spark, "green_button_interval_readings"), skipped

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from hearthgrid import constants as C
 from hearthgrid.functions import decode
+from hearthgrid.session import file_key
 
 HOURS = [f"h{i}" for i in range(1, 25)]
 # the header repeats a name, so columns are addressed by position
@@ -19,10 +20,9 @@ def meter_id(file_name: Column) -> Column:
 def lines(spark: SparkSession, path) -> DataFrame:
     """Text of the cells, with the meter id of the file."""
     raw = spark.read.schema(WIDE).option("header", True).csv(path)
-    name = F.col("_metadata.file_name")
     return raw.select(
-        name.alias("file_name"),
-        meter_id(name).alias("meter_id"),
+        file_key(F.col("_metadata.file_path")).alias("file_path"),
+        meter_id(F.col("_metadata.file_name")).alias("meter_id"),
         "reading_date",
         *HOURS,
     )
@@ -40,8 +40,8 @@ def to_readings(wide: DataFrame, homes: DataFrame | str, parity: bool = False) -
     valid = wide.filter(keep).withColumn("date", date).filter(F.col("date").isNotNull())
     if parity:
         valid = valid.withColumn("h12", F.col("h24"))
-    cells = valid.unpivot(["file_name", "meter_id", "date"], HOURS, "column", "cell").select(
-        "file_name",
+    cells = valid.unpivot(["file_path", "meter_id", "date"], HOURS, "column", "cell").select(
+        "file_path",
         "meter_id",
         "date",
         F.substring("column", 2, 2).cast("int").alias("hour"),
@@ -54,7 +54,7 @@ def to_readings(wide: DataFrame, homes: DataFrame | str, parity: bool = False) -
     if isinstance(homes, str):
         hourly = hourly.withColumn("home_id", F.lit(homes))
     else:
-        hourly = hourly.join(homes, "file_name")
+        hourly = hourly.join(homes, "file_path")
     return hourly.select(
         "home_id",
         F.lit(0).alias("usage_point_idx"),

@@ -112,6 +112,41 @@ def run(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/data")
 
 
+#: An end marker: later than any measurement, so the watermark passes all open hours and sessions; its own stays open.
+END = {"timestamp": "9999-12-31 00:00:00", "home_id": "end", "device_id": "end", "channel": 0, "watts": 1500.0}
+
+
+def run_closed(plan, events: DataFrame, name: str) -> DataFrame:
+    """Process everything available through `plan`, then close what is still open.
+
+    Once the stream has nothing more to read, a row with a far event time (and a measurement that filters let through,
+    as they may run before the watermark) is added by way of a second input folder, and the query goes on from its checkpoint: hours and sessions open until then are emitted, as a batch
+    over the same rows would have them. Call it where a stream is known to have ended; rows that come after are late.
+    """
+    spark = events.sparkSession
+    base = _fresh(spark, name)
+    schema = events.schema
+    spark.createDataFrame([], schema).write.parquet(f"{base}/end")
+    markers = spark.readStream.schema(schema).parquet(f"{base}/end")
+    closing = plan(events.unionByName(markers))
+
+    def drive() -> None:
+        query = (
+            closing.writeStream.outputMode("append")
+            .format("parquet")
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{base}/data")
+        )
+        query.awaitTermination()
+
+    drive()
+    end = spark.range(1).select(*[F.lit(END.get(f.name)).cast(f.dataType).alias(f.name) for f in schema])
+    end.write.mode("append").parquet(f"{base}/end")
+    drive()
+    return spark.read.schema(closing.schema).parquet(f"{base}/data")
+
+
 def run_upsert(stream: DataFrame, name: str, keys: list[str] = POWER_KEY, path: str | None = None) -> DataFrame:
     """Merge every micro-batch into a table partitioned by day. A batch that is replayed after a
     failure changes nothing, because the merge is idempotent."""

@@ -90,8 +90,16 @@ def rollup(grain):
         from {E} where source = 'green_button' group by 2, 3"""
 
 
+EXPORT_KEYS = {
+    "fct_electricity_consumption": ["home_id", "source", "device_id", "meter_id_hash", "timestamp"],
+    "fct_gas_consumption": ["home_id", "device_id", "meter_id_hash", "timestamp"],
+    "fct_water_consumption": ["home_id", "device_id", "meter_id_hash", "timestamp"],
+    "fct_utility_consumption": ["home_id", "commodity", "timestamp"],
+}
+
+
 def exported(relation, name):
-    keys = ", ".join(schemas.EXPORT_KEYS[name])
+    keys = ", ".join(EXPORT_KEYS[name])
     return f"select '{name}' as table_name, count(*) as n from (select distinct {keys} from {relation})"
 
 
@@ -191,13 +199,13 @@ SQL = {
         where pm2_5 is not null or uv_index is not null
         order by timestamp desc, 2 nulls last, 3 nulls last, 4 nulls last, 5 nulls last limit 168""",
     "q_combined_monthly_energy": f"""
-        select month, round(round(kwh, 8), 2) as electricity_kwh, heat as gas_heating_kwh,
-               round(round(kwh + coalesce(heat, 0), 8), 2) as total_energy_kwh, avg_temp
+        select month, round(kwh, 2) as electricity_kwh, heat as gas_heating_kwh,
+               round(kwh + coalesce(heat, 0), 2) as total_energy_kwh, avg_temp
         from (select {MONTH} as month, sum(kwh) as kwh, {avg('temperature_c', 1, 'avg_temp')} from {W} group by 1)
         left join (select {MONTH} as month, round(sum(m3 * 10.55 * 0.95), 2) as heat from fct_gas group by 1)
             using (month)""",
     "q_daily_energy_vs_temp": f"""
-        select {DAY} as date, round(round(sum(kwh), 8), 2) as total_kwh, {avg('temperature_c', 1, 'avg_temp')}
+        select {DAY} as date, round(sum(kwh::decimal(20, 9))::double, 2) as total_kwh, {avg('temperature_c', 1, 'avg_temp')}
         from {W} group by 1""",
     "q_kwh_by_temp_range": f"""
         select {band_case('temperature_c', C.TEMPERATURE_RANGES)} as temp_range, {avg('kwh', 2, 'avg_kwh_per_hour')},
@@ -445,11 +453,11 @@ SQL = {
     "src_bills_electricity": "select * from bills_electricity",
     "src_bills_gas_water": "select * from bills_gas",
     "src_bills_multi": """
-        select 'utility_bill_monthly_electricity' as table_name, count(*) as n, sum(total_kwh) as amount
-        from bills_electricity where home_id = 'home-1'
+        select home_id, 'utility_bill_monthly_electricity' as table_name, count(*) as n, sum(total_kwh) as amount
+        from bills_electricity group by 1
         union all
-        select 'utility_bill_monthly_gas', count(*), sum(gas_m3) from bills_gas where home_id = 'home-1'""",
-    "src_power_parquet": "select * from power where watts >= 0 and timestamp > '2020-01-01'::timestamp",
+        select home_id, 'utility_bill_monthly_gas', count(*), sum(gas_m3) from bills_gas group by 1""",
+    "src_power_parquet": "select * from power where watts >= 0",
     "src_weather_json": "select * from weather",
     "src_air_quality_json": "select * from air_quality",
     "src_grid_intensity": f"select * rename (hour as timestamp_hour) from grid where {INTENSITY} is not null",
@@ -465,6 +473,11 @@ SQL = {
         from readings where home_id = 'home-1' and commodity = 'CommodityKindValue.VALUE_1'""",
     # --- sinks
     "sink_keyed_table": latest(
+        "fct_gas",
+        ["home_id", "device_id", "meter_id_hash", "timestamp"],
+        ["source", "m3", "cost", "quality", "estimated"],
+    ),
+    "sink_keyed_table_parity": latest(
         "fct_gas",
         ["home_id", "timestamp"],
         ["source", "meter_id_hash", "device_id", "m3", "cost", "quality", "estimated"],
@@ -618,10 +631,7 @@ SQL = {
     "st_upsert": latest(
         "power", ["home_id", "device_id", "channel", "timestamp"], ["channel_name", "watts", "volts"]
     ),
-    "st_hourly_power": """
-        select * from power_hourly
-        where timestamp + interval 1 hour <= (select max(ts) from stg_power where quality = 'valid')
-            - interval 10 minutes""",
+    "st_hourly_power": "select * from power_hourly",
     "st_hour_join": f"""
         select e.home_id, e.usage_point_idx::varchar as device_id, e.ts as timestamp, e.kwh, w.temperature_c,
                case when temperature_c < 18 then 'heating' when temperature_c > 22 then 'cooling'
@@ -633,13 +643,8 @@ SQL = {
                (epoch_us(max(timestamp)) - epoch_us(min(timestamp))) / 60e6 as minutes, avg(watts) as avg_watts,
                count(*) as measurements
         from {CHARGE} group by home_id, device_id, channel, session
-        having max(timestamp) - min(timestamp) >= interval 15 minutes
-           and max(timestamp) + interval 3 hours <= (select max(timestamp) from power where watts >= 1000)
-               - interval 10 minutes""",
-    "st_late_data": """
-        select date_trunc('hour', timestamp) as hour, count(*) as accepted from power group by 1
-        having date_trunc('hour', timestamp) + interval 1 hour <= (select max(timestamp) from power)
-            - interval 10 minutes""",
+        having max(timestamp) - min(timestamp) >= interval 15 minutes""",
+    "st_late_data": "select date_trunc('hour', timestamp) as hour, count(*) as accepted from power group by 1",
     # --- data quality
     "dq_not_null": " union all ".join(
         [
@@ -742,7 +747,6 @@ def statement(key: str) -> str:
     sql = SQL[key]
     digits = ROUNDED.get(key)
     if digits:
-        # first to six further digits, like every rounding of the library
-        parts = ", ".join(f"round(round({c}, {d + 6}), {d}) as {c}" for c, d in digits.items())
+        parts = ", ".join(f"round({c}, {d}) as {c}" for c, d in digits.items())
         sql = f"select * replace ({parts}) from ({sql.strip()})"
     return with_relations(sql)

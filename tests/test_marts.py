@@ -275,3 +275,21 @@ def test_power_cursor(spark, rows):
     data = [power(T, 1.0), power(T + hours(1), 2.0)]
     df = spark.createDataFrame(data, schemas.POWER)
     assert rows(accept(df, "2024-07-01 12:00:00"), "watts") == [(2.0,)]
+
+
+def test_own_meter_survives_the_store(spark, tmp_path):
+    """Two meters in one home: each reading has its own, before and after it is stored, and without other feeds."""
+    reading = (
+        "select 'h' home_id, 0 usage_point_idx, 0 meter_reading_idx, timestamp_ntz'2024-01-01 00:00:00' timestamp, 3600 duration_seconds,"
+        " 5D kwh, 5L raw_value, null::double cost, 'QualityOfReading.VALIDATED' quality_code, null::string tou_bucket,"
+        " 'CommodityKindValue.VALUE_7' commodity, 'UnitSymbolKindValue.VALUE_42' uom, null::string service_kind, '{}' meter_id"
+    )
+    readings = spark.sql(" union all ".join(reading.format(m) for m in ("m1", "m2")))
+    for key, n in (("home_meter", 2), ("home", 4)):
+        made = Marts(readings, dim_key=key)
+        store.save(made, f"{tmp_path}/{key}")
+        loaded = store.load(spark, f"{tmp_path}/{key}")
+        assert made.fct_gas.count() == loaded.fct_gas.count() == n
+        assert made.settle(f"{tmp_path}/settled-{key}").fct_gas.count() == n
+        assert sorted(made.fct_gas.columns) == sorted(loaded.fct_gas.columns)
+        assert climate_report.a_weather_range(loaded).count() == 1

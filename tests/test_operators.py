@@ -12,6 +12,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hearthgrid import schemas
+from hearthgrid import constants as C
+from hearthgrid.functions import units
 from hearthgrid.functions import weighted as W
 from hearthgrid.operators import dq, merge, percentile, rollup
 
@@ -37,14 +39,20 @@ def test_weighted_aggregates_equal_repeated_rows(spark, data):
     assert repeated.count() == sum(r[3] for r in data)
     got = df.groupBy("k").agg(
         W.rows().alias("n"), W.rows_of("x").alias("nx"), W.rows_if(F.col("x") > 0).alias("pos"),
-        W.total("x").alias("s"), W.mean("x").alias("m"), W.stddev("x").alias("sd"), W.corr("x", "y").alias("r"),
+        W.total("x").alias("s"), W.mean("x").alias("m"),
     )
+    parts = W.parts(df, ["k"], "x", pairs=(("x", "y"),)).groupBy("k")
+    spread = parts.agg(
+        W.part_rows().alias("n2"), W.part_mean("x").alias("m2"), W.part_stddev("x").alias("sd"), W.part_corr("x", "y").alias("r")
+    )
+    got = got.join(spread.withColumnRenamed("k", "k2"), F.col("k").eqNullSafe(F.col("k2")))
     for row in got.collect():
         plain = [(x, y) for k, x, y, w in data if k == row["k"] for _ in range(w)]
         xs = [x for x, _ in plain if x is not None]
         assert row["n"] == len(plain) and row["nx"] == len(xs) and row["pos"] == sum(x > 0 for x in xs)
         assert row["s"] == (sum(xs) if xs else None)
         assert row["m"] == (pytest.approx(sum(xs) / len(xs)) if xs else None)
+        assert row["n2"] == row["n"] and row["m2"] == (pytest.approx(row["m"], abs=1e-9) if xs else None)
         assert row["sd"] == (pytest.approx(statistics.stdev(xs), abs=1e-6) if len(xs) > 1 else None)
         both = [(x, y) for x, y in plain if x is not None and y is not None]
         if len({x for x, _ in both}) > 1 and len({y for _, y in both}) > 1:
@@ -53,6 +61,24 @@ def test_weighted_aggregates_equal_repeated_rows(spark, data):
             assert row["r"] is None
 
 
+def test_spreads_of_large_values(spark):
+    """Values far from zero with small differences, as many rows as make sums of squares useless."""
+    values = F.lit(1e8) + (F.col("id") % 7) / 10
+    df = spark.range(70_000).select(values.alias("x"), (values * 2 + 5).alias("y"), F.lit(3.5).alias("c"), (F.col("id") % 3 + 1).alias("fan_out"))
+    staged = W.parts(df, [], "x", "c", pairs=(("x", "y"), ("x", "c")))
+    got = staged.agg(W.part_stddev("x").alias("sd"), W.part_stddev("c").alias("zero"), W.part_corr("x", "y").alias("r"), W.part_corr("x", "c").alias("none")).first()
+    plain = W.repeat(df).agg(F.stddev("x"), F.corr("x", "y")).first()
+    assert got["sd"] == pytest.approx(plain[0], rel=1e-7) and got["r"] == pytest.approx(1.0, rel=1e-9)
+    assert got["zero"] == 0.0 and got["none"] is None
+
+
+def test_rounding_once(spark):
+    got = spark.sql("select 2.4999998D a, 0.12449999996D b, 2.5D c, -2.5D d").select(
+        units.half_up(F.col("a"), 0), units.half_up(F.col("b"), 3), units.half_up(F.col("c"), 0), units.half_up(F.col("d"), 0)
+    )
+    assert tuple(got.first()) == (2.0, 0.124, 3.0, -3.0)
+
+
 def test_global_aggregates_of_nothing(spark):
     df = spark.createDataFrame([], "x double, fan_out bigint")
     row = df.agg(W.rows().alias("n"), W.total("x").alias("s"), W.mean("x").alias("m")).first()
@@ -114,7 +140,8 @@ def test_upsert_does_not_depend_on_row_order(spark, rows):
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     df = spark.createDataFrame([reading("a", 0, float(i)) for i in range(100)], SCHEMA)
     plan = merge.upsert(df.limit(0), df, KEYS)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan and "Window" not in plan
+    before_shuffle = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert "WindowGroupLimit" in before_shuffle and ", 1, Partial" in before_shuffle
 
 
 def test_insert_if_absent(spark, rows):
@@ -130,7 +157,7 @@ def test_high_water_mark_is_strict_and_per_key(spark, rows):
     assert rows(merge.newer_than(batch, loaded, "timestamp", ["home_id"]), "kwh") == [(2.0,), (3.0,)]
     assert rows(merge.newer_than(batch, loaded, "timestamp"), "kwh") == [(2.0,)]
     ancient = spark.createDataFrame([("c", dt.datetime(2019, 1, 1), "e", 1.0, 1.0)], SCHEMA)
-    assert merge.newer_than(ancient, loaded, "timestamp", ["home_id"]).count() == 0
+    assert merge.newer_than(ancient, loaded, "timestamp", ["home_id"], C.FIRST_CURSOR).count() == 0
 
 
 def test_merge_partitions_rewrites_only_touched_days(spark, rows, tmp_path):

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearthgrid import constants as C
-from hearthgrid import schemas
+from hearthgrid import schemas, session
+from hearthgrid.operators import merge
 from hearthgrid.sources import bills, climate, espi_xml, files, meter_csv, power
 from hearthgrid.sinks.tables import with_home_bucket
 from workload.env import as_payloads
@@ -85,7 +86,8 @@ def test_espi_feed(spark, feed, rows):
 
 
 def test_espi_many_files_by_home(spark, feed, rows):
-    homes = spark.createDataFrame([("one.xml", "h1"), ("two.xml", "h2")], "file_name string, home_id string")
+    paths = [(session.qualified(spark, str(feed / name)), home) for name, home in (("one.xml", "h1"), ("two.xml", "h2"))]
+    homes = spark.createDataFrame(paths, "file_path string, home_id string")
     df = espi_xml.read(spark, str(feed), homes)
     assert rows(df.groupBy("home_id").count()) == [("h1", 4), ("h2", 1)]
     assert rows(df.filter("home_id = 'h2'"), "usage_point_idx", "kwh") == [(0, 3.0)]
@@ -113,6 +115,30 @@ def test_wide_csv(spark, tmp_path, rows):
     assert out[dt.datetime(2025, 1, 1, 0)]["kwh"] == 19000.0  # 19 h local on Dec 31
 
 
+def test_files_with_one_name(spark, tmp_path, rows):
+    """Every home downloads a file of the same name."""
+    for home, value in (("a", 1), ("b b", 2)):
+        (tmp_path / home).mkdir()
+        (tmp_path / home / "usage.xml").write_text(FEED.format(entries="\n".join(meter("900", 1, 72, 0, [[reading(1700000000, value)]]))))
+        wide_file(tmp_path / home, [f"2024-06-03,{','.join([str(value)] * 24)}"], "usage.csv")
+    config = [{"path": str(tmp_path / h / f"usage.{x}"), "home_id": h, "format": kind} for h in ("a", "b b") for x, kind in (("xml", "greenbutton_xml"), ("csv", "enova_csv"))]
+    readings, skipped = files.read_configured(spark, config)
+    assert skipped == []
+    assert rows(readings.groupBy("home_id", "duration_seconds", "raw_value").count()) == [
+        ("a", 3600, 1, 1), ("a", 3600, 1000, 24), ("b b", 3600, 2, 1), ("b b", 3600, 2000, 24)
+    ]
+    with pytest.raises(ValueError, match="twice"):
+        files.read_configured(spark, [config[0], config[0]])
+
+
+def test_first_load_takes_everything(spark):
+    old = spark.sql("select 'h' home_id, 'd' device_id, timestamp_ntz'2019-05-01 00:00:00' timestamp, 5D watts")
+    assert power.accept(old).count() == 1
+    assert merge.newer_than(old, old.limit(0), "timestamp", ["device_id"]).count() == 1
+    marks = merge.advance(merge.high_water(old.limit(0), "timestamp", ["device_id"]), old, "timestamp", ["device_id"])
+    assert merge.newer_than(old, marks, "timestamp", ["device_id"]).count() == 0
+
+
 def test_wide_csv_by_header_name(spark, tmp_path):
     path = wide_file(tmp_path, ["2024-06-03," + ",".join(str(i) for i in range(1, 25))], "other.csv")
     df = meter_csv.read(spark, str(path), "h1", parity=True)
@@ -174,9 +200,10 @@ def test_weather_payload(spark, tmp_path, rows):
     (folder / "a.json").write_text(json.dumps(doc))
     df = climate.read_weather(spark, str(tmp_path))
     assert set(df.columns) == set(spark.createDataFrame([], schemas.WEATHER).columns)
-    assert rows(df, "location_name", "timestamp", "temperature_c", "ghi_wm2") == [
-        ("toronto", dt.datetime(2024, 3, 1), 1.5, 2.0), ("toronto", dt.datetime(2024, 3, 1, 1), None, 3.0),
-    ]
+    late = [("toronto", dt.datetime(2024, 3, 1), 1.5, 2.0), ("toronto", dt.datetime(2024, 3, 1, 1), None, 3.0)]
+    columns = ("location_name", "timestamp", "temperature_c", "ghi_wm2")
+    assert rows(df, *columns) == [("toronto", dt.datetime(2019, 12, 31, 23), 0.5, 1.0), *late]
+    assert rows(climate.read_weather(spark, str(tmp_path), C.FIRST_CURSOR), *columns) == late
     assert df.columns == climate.read_weather(spark, str(tmp_path), multi_line=True).columns
 
 

@@ -191,8 +191,8 @@ class Env:
         day.drop("meter_id").write.option("header", True).csv(path)
         return path
 
-    def bills_csv(self, kind: str) -> dict[str, str]:
-        """One bill export per home."""
+    def bills_csv(self, kind: str) -> str:
+        """One bill export per home, in a folder that names it."""
         base = getattr(star_schema, f"bills_{kind}")(self.spark, self.sf_dir)
         headers = (
             C.ELECTRICITY_BILL_HEADERS
@@ -206,7 +206,7 @@ class Env:
         )
         path = self.folder(f"bills-{kind}")
         named.write.partitionBy("home_id").option("header", True).csv(path)
-        return {f"home-{i}": f"{path}/home_id=home-{i}" for i in range(3)}
+        return path
 
     def payloads(self, kind: str) -> str:
         path = self.folder(kind)

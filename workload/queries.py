@@ -8,6 +8,7 @@ from hearthgrid import schemas
 from hearthgrid.functions import decode, units
 from hearthgrid.functions import weighted as W
 from hearthgrid.operators import dq, merge, percentile, rollup
+from hearthgrid.session import file_key
 from hearthgrid.plans import climate_report, dashboard, marts, raw_checks, staging, usage
 from hearthgrid.sinks import tables
 from hearthgrid.sources import bills, climate, espi_xml, files, meter_csv, power, star_schema
@@ -112,11 +113,11 @@ def src_espi_xml(e: Env) -> DataFrame:
 
 @query
 def src_espi_many(e: Env) -> DataFrame:
-    names = espi_xml.entries(e.spark, e.feeds).select("file_name").distinct()
-    homes = names.withColumn("home_id", F.concat(F.lit("home of "), "file_name"))
+    listed = e.spark.read.format("binaryFile").load(e.feeds).select(file_key(F.col("path")).alias("file_path"))
+    homes = listed.withColumn("home_id", F.concat(F.lit("home of "), "file_path"))
     read = espi_xml.read(e.spark, e.feeds, homes)
     return read.groupBy("commodity", "uom", "meter_id").agg(
-        _n(), F.sum("kwh").alias("kwh"), F.count_if(F.col("home_id").like("home of part-%")).alias("with_home")
+        _n(), F.sum("kwh").alias("kwh"), F.count_if(F.col("home_id").like("home of %/part-%")).alias("with_home")
     )
 
 
@@ -137,11 +138,7 @@ def src_meter_id_from_path(e: Env) -> DataFrame:
 
 
 def _bills(e: Env, kind: str) -> DataFrame:
-    out = None
-    for home, path in e.bills_csv(kind).items():
-        part = getattr(bills, f"read_{kind}")(e.spark, path, home)[0]
-        out = part if out is None else out.unionByName(part)
-    return out
+    return getattr(bills, f"read_{kind}")(e.spark, e.bills_csv(kind), F.col("home_id"))[0]
 
 
 @query
@@ -156,9 +153,9 @@ def src_bills_gas_water(e: Env) -> DataFrame:
 
 @query
 def src_bills_multi(e: Env) -> DataFrame:
-    both = bills.read(e.spark, e.bills_csv("electricity")["home-1"], e.bills_csv("gas")["home-1"], "home-1")
+    both = bills.read(e.spark, e.bills_csv("electricity"), e.bills_csv("gas"), F.col("home_id"))
     counts = [
-        df.agg(F.lit(name).alias("table_name"), _n(), F.sum(amount).alias("amount"))
+        df.groupBy("home_id").agg(F.lit(name).alias("table_name"), _n(), F.sum(amount).alias("amount"))
         for (name, df), amount in zip(sorted(both.items()), ["total_kwh", "gas_m3"])
     ]
     return counts[0].unionByName(counts[1])
@@ -166,17 +163,19 @@ def src_bills_multi(e: Env) -> DataFrame:
 
 @query
 def src_power_parquet(e: Env) -> DataFrame:
-    return power.accept(e.power)
+    path = e.folder("power")
+    e.power.write.parquet(path)
+    return power.read(e.spark, path)[0]
 
 
 @query
 def src_weather_json(e: Env) -> DataFrame:
-    return climate.read_weather(e.spark, e.payloads("weather"), "1990-01-01")
+    return climate.read_weather(e.spark, e.payloads("weather"))
 
 
 @query
 def src_air_quality_json(e: Env) -> DataFrame:
-    return climate.read_air_quality(e.spark, e.payloads("air_quality"), "1990-01-01")
+    return climate.read_air_quality(e.spark, e.payloads("air_quality"))
 
 
 @query
@@ -225,15 +224,26 @@ def src_weather_range(e: Env) -> DataFrame:
 @query
 def sink_keyed_table(e: Env) -> DataFrame:
     path = e.folder("export")
-    tables.export_keyed(e.marts.fct_gas, path, "fct_gas_consumption", ["home_id", "timestamp"])
-    return e.spark.read.parquet(f"{path}/fct_gas_consumption")
+    name = "fct_gas_consumption"
+    tables.export_keyed(e.marts.fct_gas, path, name, schemas.EXPORT_KEYS[name])
+    return e.spark.read.parquet(f"{path}/{name}")
+
+
+@query
+def sink_keyed_table_parity(e: Env) -> DataFrame:
+    """The coarser key that users of earlier exports know: one row per home and time."""
+    path = e.folder("export")
+    name = "fct_gas_consumption"
+    tables.export_keyed(e.marts.fct_gas, path, name, schemas.PARITY_EXPORT_KEYS[name])
+    return e.spark.read.parquet(f"{path}/{name}")
 
 
 @query
 def sink_export_many(e: Env) -> DataFrame:
     m = e.marts
-    sources = [m.fct_electricity, m.fct_gas, m.fct_water, m.fct_utility]
+    sources = [m.fct_electricity, m.fct_gas, m.fct_water]
     exports = [(df, name, keys) for df, (name, keys) in zip(sources, schemas.EXPORT_KEYS.items())]
+    exports.append((m.fct_utility, "fct_utility_consumption", schemas.PARITY_EXPORT_KEYS["fct_utility_consumption"]))
     path = e.folder("export")
     stats = tables.export_all(exports, path)
     written = [
@@ -553,12 +563,14 @@ def agg_conditional(e: Env) -> DataFrame:
 @query
 def agg_corr(e: Env) -> DataFrame:
     matched = e.marts.weather_facts.filter(~F.col("missing_weather_data"))
-    return matched.groupBy("home_id").agg(units.half_up(W.corr("temperature_c", "kwh"), 3).alias("r"))
+    parts = W.parts(matched, ["home_id"], pairs=(("temperature_c", "kwh"),))
+    return parts.groupBy("home_id").agg(units.half_up(W.part_corr("temperature_c", "kwh"), 3).alias("r"))
 
 
 @query
 def agg_stddev(e: Env) -> DataFrame:
-    return e.marts.electricity_facts.groupBy("home_id", "source").agg(W.stddev("kwh").alias("stddev_kwh"))
+    keys = ["home_id", "source"]
+    return W.parts(e.marts.electricity_facts, keys, "kwh").groupBy(*keys).agg(W.part_stddev("kwh").alias("stddev_kwh"))
 
 
 @query
@@ -719,7 +731,7 @@ def st_dedupe(e: Env) -> DataFrame:
 
 @query
 def st_hourly_power(e: Env) -> DataFrame:
-    return stream.run(stream.hourly_power(_events(e)), "hourly")
+    return stream.run_closed(stream.hourly_power, _events(e), "hourly")
 
 
 @query
@@ -741,12 +753,12 @@ def st_hour_join(e: Env) -> DataFrame:
 
 @query
 def st_charge_sessions(e: Env) -> DataFrame:
-    return stream.run(stream.charge_sessions(_events(e), gap="3 hours"), "sessions")
+    return stream.run_closed(lambda events: stream.charge_sessions(events, gap="3 hours"), _events(e), "sessions")
 
 
 @query
 def st_late_data(e: Env) -> DataFrame:
-    return stream.run(stream.late_rows(_events(e)), "late")
+    return stream.run_closed(stream.late_rows, _events(e), "late")
 
 
 # --- data quality
