@@ -434,30 +434,35 @@ def hourly_weather_of(facts: DataFrame) -> DataFrame:
     return facts.filter(F.col("temperature_c").isNotNull()).select(*HOURLY_WEATHER).distinct()
 
 
-# column order of the published extracts
-_E = ["timestamp", "kwh", "cost", "tou_period", "quality"]
-_PARTS = ["year", "month", "day", "hour", "day_of_week"]
+# Columns of the published extracts, in their order.
 EXTRACTS = {
     "electricity": [
-        *_E, "meter_id_hash", "home_id", "source", "estimated", "co2_g_per_kwh", "rate_cents_per_kwh", *_PARTS,
+        "timestamp", "kwh", "cost", "tou_period", "quality", "meter_id_hash", "home_id", "source", "estimated",
+        "co2_g_per_kwh", "rate_cents_per_kwh", "year", "month", "day", "hour", "day_of_week",
     ],
     "gas": [
         "timestamp", "m3", "cost", "quality", "home_id", "source", "meter_id_hash", "estimated",
-        "avg_outdoor_temp_c", "heating_degree_days", "rate_cents_per_m3", *_PARTS[:3],
+        "avg_outdoor_temp_c", "heating_degree_days", "rate_cents_per_m3", "year", "month", "day",
     ],
     "water": [
         "timestamp", "m3", "raw_volume", "raw_unit", "cost", "quality", "home_id", "source", "meter_id_hash",
-        "estimated", "gallons", "liters", "rate_cents_per_m3", "rate_cents_per_gal", *_PARTS[:3],
+        "estimated", "gallons", "liters", "rate_cents_per_m3", "rate_cents_per_gal", "year", "month", "day",
     ],
     "carbon": [
-        *_E, "home_id", "source", "meter_id_hash", "estimated", "kg_co2e", "g_co2e", "co2e_intensity_gco2_per_kwh",
-        "grid_clean_pct", *[f"grid_{c}" for c in ["total_mw", *C.GRID_MIX]],
-        "grid_has_ieso_data", "grid_has_gridwatch_data", *_PARTS,
+        "timestamp", "kwh", "cost", "tou_period", "quality", "home_id", "source", "meter_id_hash", "estimated",
+        "kg_co2e", "g_co2e", "co2e_intensity_gco2_per_kwh", "grid_clean_pct", "grid_total_mw",
+        "grid_nuclear_mw", "grid_gas_mw", "grid_hydro_mw", "grid_wind_mw", "grid_solar_mw", "grid_biofuel_mw",
+        "grid_has_ieso_data", "grid_has_gridwatch_data", "year", "month", "day", "hour", "day_of_week",
     ],
     "weather": [
-        *_E, "home_id", "source", "meter_id_hash", "estimated", "co2_g_per_kwh", "rate_cents_per_kwh",
-        "location_name", *_WEATHER[:4], "temperature_category", "hvac_season", *_WEATHER[4:], "hdh", "cdh",
-        *[c for c in _AIR], *_AIR_LABELS, "missing_weather_data", "missing_air_quality_data", *_PARTS,
+        "timestamp", "kwh", "cost", "tou_period", "quality", "home_id", "source", "meter_id_hash", "estimated",
+        "co2_g_per_kwh", "rate_cents_per_kwh", "location_name", "temperature_c", "humidity_pct",
+        "precipitation_mm", "windspeed_kmh", "temperature_category", "hvac_season", "cloud_cover_pct",
+        "cloud_cover_low_pct", "cloud_cover_mid_pct", "cloud_cover_high_pct", "ghi_wm2", "dni_wm2", "dhi_wm2",
+        "direct_horizontal_wm2", "sunshine_duration_s", "hdh", "cdh", "pm2_5", "pm10", "dust", "uv_index",
+        "aerosol_optical_depth", "european_aqi", "pm2_5_category", "aqi_category", "uv_category",
+        "is_high_pollution", "is_high_soiling_risk", "missing_weather_data", "missing_air_quality_data", "year",
+        "month", "day", "hour", "day_of_week",
     ],
 }
 

@@ -6,7 +6,7 @@ weighted facts of the library.
 
 import re
 
-from hearthgrid import constants as C
+from oracle import literals as C
 
 
 def like_case(column, codes, default="'unknown'"):

@@ -1,7 +1,6 @@
 """One SQL statement per registered query, over the relations of ``base``."""
 
-from hearthgrid import constants as C
-from hearthgrid import schemas
+from oracle import literals as C
 from oracle.base import (
     COMMODITY,
     ESTIMATED,
@@ -61,7 +60,7 @@ def carbon(select, tail=""):
 READ_COLUMNS = (
     "timestamp, duration_seconds, kwh, raw_value, cost, quality_code, tou_bucket, commodity, uom, meter_id"
 )
-READING_KEY = schemas.PRIMARY_KEYS["green_button_interval_readings"]
+READING_KEY = C.READING_KEY
 READING_REST = [
     "duration_seconds", "kwh", "raw_value", "cost", "quality_code", "tou_bucket", "commodity", "uom",
     "service_kind", "meter_id",
@@ -115,7 +114,7 @@ def nulls(table, relation):
     return " union all ".join(
         f"select '{table}' as table_name, '{c}' as column_name, count(*) filter ({c} is null) as null_count "
         f"from {relation}"
-        for c in schemas.REQUIRED[table]
+        for c in C.REQUIRED[table]
     )
 
 
