@@ -108,3 +108,32 @@ def digest(docs: DataFrame) -> DataFrame:
         likeness(F.col("text_pieces"), F.col("next_text_pieces"), F.col("fingerprint") == F.col("_next")).alias("near_next"),
         F.size(where).cast("long").alias("n_changed"),
     )
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (
+  SELECT doc_id, t, coalesce(lead(t) OVER w, first_value(t) OVER w) AS nt, (length(t) // 2)::INT AS half
+  FROM d WINDOW w AS (ORDER BY doc_id DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (SELECT doc_id, t, nt, substr(t, 1, length(t) - half) || substr(nt, 1, half) AS x FROM n),
+h AS (
+  SELECT doc_id, t, nt, x,
+         list_transform(string_split(t, E'\n\n'), lambda s: list_transform(string_split(s, E'\n'), lambda p: sha256(p))) AS tn,
+         list_transform(string_split(x, E'\n\n'), lambda s: list_transform(string_split(s, E'\n'), lambda p: sha256(p))) AS xn,
+         list_distinct(regexp_extract_all(t, '[^\n]{1,24}')) AS tp,
+         list_distinct(regexp_extract_all(x, '[^\n]{1,24}')) AS xp,
+         list_distinct(regexp_extract_all(nt, '[^\n]{1,24}')) AS np
+  FROM e),
+f AS (
+  SELECT *, sha256(array_to_string(list_transform(tn, lambda s: sha256(array_to_string(s, ''))), '')) AS tf,
+         sha256(array_to_string(list_transform(xn, lambda s: sha256(array_to_string(s, ''))), '')) AS xf,
+         flatten(tn) AS ta, flatten(xn) AS xa
+  FROM h)
+SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(x) AS edited_sha256, tf AS fingerprint, xf AS edited_fingerprint,
+       CASE WHEN t = x THEN 1.0::DOUBLE WHEN len(tp) + len(xp) = 0 THEN 0.0
+            ELSE len(list_intersect(tp, xp)) * 2.0::DOUBLE / (len(tp) + len(xp)) END AS near_edited,
+       CASE WHEN t = nt THEN 1.0::DOUBLE WHEN len(tp) + len(np) = 0 THEN 0.0
+            ELSE len(list_intersect(tp, np)) * 2.0::DOUBLE / (len(tp) + len(np)) END AS near_next,
+       len(list_filter(range(1, greatest(len(ta), len(xa)) + 1), lambda i: ta[i] IS DISTINCT FROM xa[i]))::BIGINT AS n_changed
+FROM f
+"""

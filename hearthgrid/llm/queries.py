@@ -23,4 +23,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": lambda spark, sf_dir: toxicity.digest(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")),
     "op10_merkle": _over("documents", merkle.digest),
 }
-SQL: dict[str, str] = {"op1_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op6_repeats": repeats.SQL, "op10_merkle": merkle.SQL}

@@ -185,3 +185,19 @@ def longest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 digest = dedup
+
+
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+starts AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+win AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS s FROM starts),
+rep AS (SELECT r, i FROM win WHERE s IN (SELECT s FROM win GROUP BY s HAVING count(*) > 1)),
+cov AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM rep),
+each AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS k, count(*) AS n
+         FROM each e WHERE NOT EXISTS (SELECT 1 FROM cov c WHERE c.r = e.r AND c.p = e.p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""

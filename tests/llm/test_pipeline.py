@@ -1,11 +1,17 @@
 """The corpus pipeline, stage by stage, against plain versions; and the guard of the entry module."""
 
+import os
 import subprocess
 import sys
 from collections import Counter
 
+import pytest
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
+
 import __spark_entry__ as entry
 import corpus_pipeline
+from compare import compare, database
 from hearthgrid.llm import mixing, toxicity
 
 from .conftest import SF
@@ -66,3 +72,9 @@ def test_library_without_this_part():
         "assert not e.LLM_QUERIES and e.queries() and set(e.queries()) == set(e.oracle_sql())\n"
     )
     subprocess.run([sys.executable, "-c", code], check=True, cwd=entry.__file__.rsplit("/", 1)[0])
+
+
+@pytest.mark.parametrize("key", sorted(entry.LLM_SQL))
+def test_sql(spark, key):
+    _, result = compare(spark, database(SF), key, SF)
+    assert result.startswith("ok"), result
