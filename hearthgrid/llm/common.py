@@ -66,8 +66,10 @@ def map_arrow(df: DataFrame, function, schema) -> DataFrame:
 def map_sorted(df: DataFrame, key: str, function, schema) -> DataFrame:
     """Call `function` with all rows of each key (an Arrow table; bounded by what `df` puts under a key).
 
-    Rows are sorted by key inside partitions and streamed, so a task holds one key and one batch at a time.
+    Rows are sorted by key inside partitions and streamed, so a task holds one key and one batch at a time. The number of
+    tasks is stated, as work for each row is great and small partitions are not to be joined.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def stream(batches):
         held, number = [], None
@@ -85,7 +87,7 @@ def map_sorted(df: DataFrame, key: str, function, schema) -> DataFrame:
         if held:
             yield from function(pa.Table.from_batches(held))
 
-    return map_arrow(df.repartition(F.col(key)).sortWithinPartitions(key), stream, schema)
+    return map_arrow(df.repartition(tasks, key).sortWithinPartitions(key), stream, schema)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -108,9 +108,9 @@ def greedy(x: np.ndarray, q: np.ndarray, graph: list[np.ndarray], start: int, be
     done = np.zeros(1, dtype=bool)
     met_ids, met_near = [ids], [near]
     while not done.all():
-        at = int(np.argmin(done))  # ids are sorted by cosine
+        at = np.flatnonzero(~done)[:4]  # ids are sorted by cosine; four nodes at a time
         done[at] = True
-        more = graph[ids[at]]
+        more = np.unique(np.concatenate([graph[i] for i in ids[at]]))
         more = more[~seen[more]]
         if not len(more):
             continue
