@@ -39,7 +39,11 @@ def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
     width = length - k + 1
 
     def read(batches):
+        seen: set[tuple[int, int]] = set()  # of one task; further copies of a text add nothing
         for batch in batches:
+            copies = list(zip(batch[1].to_pylist(), batch[2].to_pylist(), strict=True))
+            fresh = [i for i, c in enumerate(copies) if c not in seen and not seen.add(c)]
+            batch = batch.take(pa.array(fresh, pa.int64()))
             keys = batch[1].to_numpy(zero_copy_only=False)
             for first, data, offsets in grams.groups(batch[0]):
                 n = len(data) - length + 1
@@ -53,16 +57,22 @@ def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
                     [pa.array(h[at].view(np.int64)), pa.array(keys[first + doc]), pa.array((at - offsets[doc]).astype(np.int32))], ["h", "k1", "at"]
                 )
 
-    return common.map_arrow(docs.select("text", "k1"), read, "h long, k1 long, at int")
+    return common.map_arrow(docs.select("text", "k1", "k2"), read, "h long, k1 long, at int")
+
+
+def repeated_anchors(base: DataFrame, length: int, k: int) -> DataFrame:
+    """(k1, places) of anchors that occur more than once, written before texts are shuffled."""
+    found = anchors(base, length, k)
+    twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    return common.keep(found.join(twice, "h", "left_semi").groupBy("k1").agg(F.collect_set("at").alias("places")), "places")
 
 
 def settle(docs: DataFrame, length: int, k: int) -> DataFrame:
     """Documents with their result or, where suffixes have to be sorted, with text and repeated anchors (open)."""
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = base.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit("second"), "text")})
-    found = anchors(base, length, k)
-    twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    places = found.join(twice, "h", "left_semi").groupBy("k1").agg(F.collect_set("at").alias("places"))
+    places = repeated_anchors(base, length, k)
+    common.sweep(docs.sparkSession)
     order = F.coalesce("doc_id", F.lit(LAST))
     copies = base.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).filter("n > 1")
     copies = copies.groupBy("k1").agg(F.collect_list(F.struct("k2", "first")).alias("copies"))
@@ -215,11 +225,11 @@ def earlier(meta: np.ndarray, lcps: np.ndarray, lefts: list[bytes], length: int)
     new = (np.diff(meta["at"][by]) != 0) | (np.diff(meta["doc"][by]) != 0)
     rank[by] = np.concatenate([[0], np.cumsum(new)])
     bits = np.zeros((2, n), dtype=np.uint64)
-    sums, power = np.zeros(n, dtype=np.uint64), grams.U(1)
+    sums, power = np.zeros(n, dtype=np.uint64), 1
     for offset in range(deepest + 1):
         if offset:
-            power = power * grams.U(grams.BYTE_BASE)
-            sums = sums + grams.byte_values(before[offset - 1]) * power
+            power = power * grams.BYTE_BASE % 2**64
+            sums = sums + grams.byte_values(before[offset - 1]) * grams.U(power)
         here = np.flatnonzero((meta["low"] <= offset) & (meta["left"] >= offset))
         if len(here) < 2:
             continue
@@ -310,6 +320,8 @@ def duplicates(settled: DataFrame, length: int, k: int) -> DataFrame:
 
     sent = common.keep(common.map_arrow(rows, runs, "part int, run binary, row long, at long, m0 long, m1 long"), "runs")
 
+    common.sweep(spark)
+
     def merged(batches):
         parts_seen: dict[int, list] = {}
         for batch in batches:
@@ -346,6 +358,7 @@ def covered(n: int, found: list[dict], length: int) -> np.ndarray:
 def dedup(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each document. Windows have at most 127 bytes before an anchor."""
     settled = settle(docs, length, k)
+    common.sweep(docs.sparkSession)
     rest = settled.filter("open").select("doc_id", "text", "row").join(duplicates(settled, length, k), "row", "left")
 
     def cut(batches):
