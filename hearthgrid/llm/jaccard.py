@@ -26,7 +26,7 @@ from . import common, grams
 
 WORDS, THRESHOLD = 5, 0.8
 T, SMALL = 128, 256
-RUNS, DEPTH, LIMIT, TILE = 10, 2, 512, 512
+RUNS, DEPTH, LIMIT, TILE = 10, 2, 512, 768
 RECALL = 0.999
 #: Equal 8-bit sketch values below which a pair can't reach the threshold (5.5 standard deviations below).
 MARGIN = 5.5
