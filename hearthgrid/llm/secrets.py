@@ -102,20 +102,22 @@ def linked(scanned: DataFrame) -> DataFrame:
             "p.start",
             "p.end",
             "p.number",
-            F.floor(F.col("p.start") / WINDOW).alias("slot"),
             # an access or ident identifies, an assign, hex or opaque is a secret
             F.when(F.col("p.number").isin(1, 3), "who").when(F.col("p.number") == 5, "where").otherwise("what").alias("role"),
         )
         .distinct()
     )
-    # what a base span covers is no weak part; both sides of a link lie in one slot or in the next
-    near = [F.explode(F.array(F.col("slot") - 1, F.col("slot"), F.col("slot") + 1)).alias("slot")]
+    # what a base span covers is no weak part. Each part stands in all slots up to WINDOW behind its end, so whatever lies
+    # within the gap or overlaps meets in the slot of the later start, whatever its length
+    slot = lambda c: F.floor(F.col(c) / WINDOW)
+    parts = parts.withColumn("slot", F.explode(F.sequence(slot("start"), F.floor((F.col("end") + WINDOW) / WINDOW))))
     other = parts.select(
-        "key", "scope", F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("number").alias("o_number"), F.col("role").alias("o_role"), *near
+        "key", "scope", F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("number").alias("o_number"), F.col("role").alias("o_role"), "slot"
     )
+    once = F.col("slot") == F.greatest(slot("start"), slot("o_start"))
     overlap = (F.col("o_start") < F.col("end")) & (F.col("start") < F.col("o_end"))
     gap = F.greatest(F.col("o_start") - F.col("end"), F.col("start") - F.col("o_end"))
-    joined = parts.filter("number > 2").join(other, ["key", "scope", "slot"]).filter(gap <= WINDOW)
+    joined = parts.filter("number > 2").join(other, ["key", "scope", "slot"]).filter(once & (gap <= WINDOW))
     support = joined.groupBy("key", "start", "end", "number", "role").agg(
         F.max(overlap & ((F.col("o_number") < 3) | (F.col("o_number") > F.col("number")) & (F.col("number") == 4))).alias("covered"),
         *[F.max(~overlap & (F.col("o_role") == r)).alias(r) for r in ("who", "what", "where")],

@@ -92,6 +92,15 @@ def test_weak_parts_need_each_other(docs):
     assert spans == {1: [], 2: [], 3: ["access", "opaque", "endpoint"], 4: ["access"], 5: ["access"], 6: [], 7: ["ident", "assign"]}
 
 
+def test_long_parts_link(docs):
+    """Slots are of starts alone: parts longer than the window met only by luck."""
+    where, long = "https://db.internal/x", "password=" + "x" * 711
+    who, wide = "client_id=abc", "https://db.internal/" + "y" * 700
+    texts = [(1, f"{long}{' ' * 10}{where} client_id=abc"), (2, f"{who} password=hunter22 {wide}"), (3, f"{wide}{' ' * 10}{who} password=hunter22"), (4, f"client_id=abc {long}0{'=' * 40}")]
+    spans = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s] for r in secrets.digest(docs(texts)).collect()}
+    assert spans == {1: ["assign", "endpoint", "ident"], 2: ["ident", "assign", "endpoint"], 3: ["endpoint", "ident", "assign"], 4: ["ident", "assign"]}
+
+
 def test_secrets_leave_the_texts(docs):
     data = docs([(1, "a password=hunter22 b"), (2, "clean"), (3, None), (1, "a password=hunter22 b")])
     out = sorted((r["doc_id"], r["text"], r["n_chars"]) for r in secrets.stage(data).collect() if r["text"])
