@@ -118,13 +118,21 @@ def linked(scanned: DataFrame) -> DataFrame:
     overlap = (F.col("o_start") < F.col("end")) & (F.col("start") < F.col("o_end"))
     gap = F.greatest(F.col("o_start") - F.col("end"), F.col("start") - F.col("o_end"))
     joined = parts.filter("number > 2").join(other, ["key", "scope", "slot"]).filter(once & (gap <= WINDOW))
+    apart = ~overlap & (F.col("number") == 4) & (F.col("o_number") == 5)
     support = joined.groupBy("key", "start", "end", "number", "role").agg(
+        F.collect_set(F.when(apart, F.col("o_start"))).alias("ends"),
         F.max(overlap & ((F.col("o_number") < 3) | (F.col("o_number") > F.col("number")) & (F.col("number") == 4))).alias("covered"),
-        *[F.max(~overlap & (F.col("o_role") == r)).alias(r) for r in ("who", "what", "where")],
+        *[F.max(~overlap & (F.col("o_role") == r)).alias(r) for r in ("who", "what")],
     )
+    # second hop: opaque tokens linked to an endpoint that an identifier is linked to. Endpoints don't overlap, their start names them
+    support = common.keep(support, "support")
+    known = support.filter((F.col("number") == 5) & F.col("who")).select("key", F.col("start").alias("where_start"))
+    hops = support.select("key", "start", "end", "number", F.explode("ends").alias("where_start")).join(known, ["key", "where_start"])
+    hops = hops.select("key", "start", "end", "number", F.lit(True).alias("hop")).distinct()
+    support = support.join(hops, ["key", "start", "end", "number"], "left")
     counts = (
         ((F.col("number") == 3) & F.col("what"))
-        | ((F.col("number") == 4) & F.col("who"))
+        | ((F.col("number") == 4) & (F.col("who") | F.coalesce("hop", F.lit(False))))
         | ((F.col("number") == 5) & F.col("who") & F.col("what"))
     )
     return (

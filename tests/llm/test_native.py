@@ -101,6 +101,14 @@ def test_long_parts_link(docs):
     assert spans == {1: ["assign", "endpoint", "ident"], 2: ["ident", "assign", "endpoint"], 3: ["endpoint", "ident", "assign"], 4: ["ident", "assign"]}
 
 
+def test_opaque_by_an_endpoint_that_has_an_identifier(docs):
+    who, what, where = "client_id=abc", "opaqueTok3n" * 3, "https://db.internal/x"
+    pad = " " * 200
+    texts = [(1, f"{who}{pad}{where}{pad}{what}"), (2, f"{pad}{where}{pad}{what}"), (3, f"{who}{pad * 2}{where}{pad}{what}"), (4, f"{who}{pad}{where}\n\n{pad}{what}")]
+    spans = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s] for r in secrets.digest(docs(texts)).collect()}
+    assert spans == {1: ["endpoint", "opaque"], 2: [], 3: [], 4: []}
+
+
 def test_secrets_leave_the_texts(docs):
     data = docs([(1, "a password=hunter22 b"), (2, "clean"), (3, None), (1, "a password=hunter22 b")])
     out = sorted((r["doc_id"], r["text"], r["n_chars"]) for r in secrets.stage(data).collect() if r["text"])
