@@ -2,7 +2,8 @@
 
 Writers hide words by look-alike characters, spaces between letters and repeated letters. Each suspicious stretch
 becomes a lattice (every character may be itself, a letter it looks like, a repetition or mere noise) and the best
-path under a character trigram model is its restored form. The model's counts come from all documents. A logistic
+path under a character trigram model is its restored form; blanks and signs between letters may be noise or end a word,
+and punctuation may stand around a stretch of any length. The model's counts come from all documents. A logistic
 regression over words and word beginnings scores text and restored forms together.
 
 The classifier is fitted on at most SAMPLE labelled training rows of each class (those first by MD5 of their id),
@@ -36,12 +37,17 @@ _CODE = np.zeros(0x250, dtype=np.int32)
 for _letter, _number in LETTERS.items():
     _CODE[ord(_letter)] = _CODE[ord(_letter.upper()) if len(_letter.upper()) == 1 and ord(_letter.upper()) < 0x250 else ord(_letter)] = _number
 _MARKS = re.escape("".join(LOOKS))
+_IN = rf"[\w{_MARKS}*.\-]"
+#: What may part the letters of a spaced word, and words within a stretch.
+PARTS = " .-_*"
 #: Letters with look-alikes between or beside them, letters three times in a row, single letters in a row.
 SUSPECT = re.compile(
-    rf"(?<!\S)(?=[^\W\d_{_MARKS}]*[{_MARKS}])(?=[\d{_MARKS}]*[^\W\d_])[\w{_MARKS}*.\-]{{3,24}}(?!\S)"
+    rf"(?<!{_IN})(?=[^\W\d_{_MARKS}]*[{_MARKS}])(?=[\d{_MARKS}]*[^\W\d_]){_IN}{{3,}}"
     r"|(?<!\w)\w*?([^\W\d_])\1\1\w*"
-    r"|(?<!\w)(?:\w[ .\-_*]{1,2}){3,24}\w(?!\w)"
+    r"|(?<!\w)(?:\w[ .\-_*]{1,2}){2,}\w(?!\w)"
 )
+#: Longest stretch whose restored form is remembered.
+REMEMBER = 64
 
 
 def trigrams(docs: DataFrame) -> np.ndarray:
@@ -72,9 +78,12 @@ def trigrams(docs: DataFrame) -> np.ndarray:
     return np.log((counts + 5 * pair[None]) / (counts.sum(2, keepdims=True) + 5)).astype(np.float32)
 
 
-def restore(stretch: str, model: np.ndarray) -> str:
-    """The best letters for a stretch: Viterbi over its lattice, states are the last two letters."""
-    states = {(0, 0): (0.0, "", "")}
+def restore(stretch: str, model: np.ndarray, ends: bool = True) -> str:
+    """The best letters for a stretch: Viterbi over its lattice, states are the last two letters.
+
+    With `ends` a separator may end a word, which leaves a blank; the model tells where.
+    """
+    states = {(0, 0): (0.0, None, "")}  # the letters so far are linked backwards, as stretches may be long
     lower = stretch.lower()
     runs = {i for m in re.finditer(r"(.)\1\1+", lower) for i in range(*m.span())}
     for place, char in enumerate(lower):
@@ -88,13 +97,29 @@ def restore(stretch: str, model: np.ndarray) -> str:
         for (a, b), (score, out, last) in states.items():
             for letter, cost in options:
                 c = LETTERS[letter]
-                offer((b, c), score + cost + float(model[a, b, c]), out + letter, letter)
+                offer((b, c), score + cost + float(model[a, b, c]), (out, letter), letter)
             if last and any(letter == last for letter, _ in options):
                 offer((a, b), score + (STRETCHED if place in runs else DOUBLED), out, last)
             if char not in LETTERS:
                 offer((a, b), score + (NOISE if char.isalnum() or char in LOOKS else 0.0), out, last)
+            if ends and b and char in PARTS:
+                offer((b, 0), score + float(model[a, b, 0]), (out, " "), "")
         states = dict(sorted(following.items(), key=lambda s: -s[1][0])[:32]) or states
-    return max(((s + float(model[a, b, 0]), out) for (a, b), (s, out, _) in states.items()), default=(0, ""))[1]
+    best = max(((s + (float(model[a, b, 0]) if b or not a else 0.0), out) for (a, b), (s, out, _) in states.items()), key=lambda x: x[0], default=(0, None))[1]
+    letters = []
+    while best:
+        best, letter = best
+        letters.append(letter)
+    return "".join(reversed(letters)).strip()
+
+
+def forms(stretch: str) -> set[str]:
+    """The stretch, and it without what stands around its letters on either side, as that may be punctuation."""
+    edge = lambda c: not c.isalnum()
+    left = next((i for i, c in enumerate(stretch) if not edge(c)), 0)
+    right = len(stretch) - next((i for i, c in enumerate(reversed(stretch)) if not edge(c)), 0)
+    every = {stretch, stretch[left:], stretch[:right], stretch[left:right]}
+    return {f for f in every if f == stretch or not f.isalpha()}  # words of letters alone are found as they are
 
 
 def features(word: str) -> tuple[str, ...]:
@@ -103,14 +128,22 @@ def features(word: str) -> tuple[str, ...]:
 
 def reader(model: np.ndarray):
     """A function from a text to its set of words, restored forms included."""
-    restored = lru_cache(65_536)(lambda stretch: restore(stretch, model))
+
+    def read(stretch: str) -> frozenset[str]:
+        out: set[str] = set()
+        for form in forms(stretch):
+            out.update(restore(form, model).split())
+            if any(c in PARTS for c in form):  # as one word, too
+                out.add(restore(form, model, ends=False))
+        return frozenset(out - {""})
+
+    remembered = lru_cache(65_536)(read)
 
     def words(text: str) -> set[str]:
         lower = text.lower()
         found = set(WORD.findall(lower))
         for m in SUSPECT.finditer(lower):
-            found.add(restored(m.group(0)))
-        found.discard("")
+            found |= (remembered if len(m.group(0)) <= REMEMBER else read)(m.group(0))
         return found
 
     return words

@@ -100,6 +100,21 @@ def test_toxicity(judged):
     assert clean == {i for i, r in out.items() if not r["predicted"]}
 
 
+def test_disguised_words_in_any_surroundings(judged):
+    docs, labels = judged
+    model = toxicity.trigrams(docs)
+    read = toxicity.reader(model)
+    for text in ("1d10t,", '"1d10t"', "(1d10t)", "1d10t?", "1d10t!", "[1d10t];", "so 1d10t's", "1di0t", "i d i o t", "balter: i.d.i.o.t!"):
+        assert "idiot" in read(text), text
+    assert {"disgusting", "idiot"} <= read("d i s g u s t i n g i d i o t") and "worthless" in read("fonter a w o r t h l e s s")
+    assert "idiot" in read("1d10t-" * 10) and "bal" in toxicity.restore("b a l", model) and toxicity.SUSPECT.search("b a l")
+    long = "w.o.r.t.h.l.e.s.s." * 2_000
+    assert "worthless" in read(long + "x")
+    more = docs.sparkSession.createDataFrame([(1, '"1d10t," balter'), (2, "balter d i s g u s t i n g i d i o t"), (3, "(fonter) onming, gireo!")], "doc_id long, text string")
+    out = {r["doc_id"]: r["predicted"] for r in toxicity.digest(docs.filter("doc_id >= 100").union(more), labels).collect() if (r["doc_id"] or 9) < 4}
+    assert out == {1: 1, 2: 1, 3: 0}
+
+
 def test_toxicity_without_labels(judged):
     docs, labels = judged
     for known in (labels.limit(0), labels.filter("toxic = 0")):
