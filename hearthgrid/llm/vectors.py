@@ -5,7 +5,9 @@ its OVERLAP nearest clusters. In each shard (blocks of at most BLOCK classes) a
 the shard's medoid and robust pruning; the adjacency lists of a class from all its shards are united. Then each class
 searches its shards over the united lists: greedily from the medoid, and from what lies in range on to all that can be
 reached through nodes in a slightly wider range. What is found is verified by cosine in double precision. Recall is
-audited against brute force for AUDIT classes; below its target the build is repeated with more overlap and wider beams.
+audited against brute force for AUDIT classes and more, until LINKED of them have links; below its target the build is
+repeated with more overlap and wider beams, and if the widest is still below it, all that can reach each other is
+compared by brute force.
 
 Defined results: vectors that are null, zero, empty or hold null or non-finite components, and vectors without a label,
 link with nothing; vectors of different lengths don't link; repeated rows are copies of each other; an empty table gives
@@ -24,6 +26,8 @@ OVERLAP, BEAM, DEGREE, ALPHA = 2, 32, 20, 1.3
 #: Classes a cluster should hold, most classes of a block, vectors that centroids come from, most centroids.
 SHARD, BLOCK, SAMPLE, CENTROIDS = 500, 1500, 20_000, 2048
 AUDIT, RECALL, MOST_OVERLAP = 1024, 0.98, 5
+#: Audited classes with links that an audit needs.
+LINKED = 100
 LAST = 2**63 - 1
 
 
@@ -190,6 +194,111 @@ def graphs(shards: DataFrame, beam: int) -> DataFrame:
     return common.keep(united, "graph")
 
 
+FOUND = "id long, linked array<struct<id: bigint, copies: bigint>>, edges array<long>"
+
+
+def _found(full: np.ndarray, ids: np.ndarray, copies: np.ndarray):
+    """Rows of FOUND from a symmetric table of links."""
+    hit = np.flatnonzero(full.any(1))
+    seen, edges = np.zeros(len(ids), dtype=bool), {int(h): [] for h in hit}
+    for first in hit.tolist():
+        if seen[first]:
+            continue
+        seen[first], front = True, [first]
+        while front:
+            a = front.pop()
+            for b in np.flatnonzero(full[a] & ~seen).tolist():
+                seen[b] = True
+                edges[a].append(int(ids[b]))
+                front.append(b)
+    pair = pa.struct([("id", pa.int64()), ("copies", pa.int64())])
+    linked = [[{"id": int(ids[b]), "copies": int(copies[b])} for b in np.flatnonzero(full[a])] for a in hit.tolist()]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(ids[hit]), pa.array(linked, pa.list_(pair)), pa.array([edges[int(a)] for a in hit], pa.list_(pa.int64()))], ["id", "linked", "edges"]
+    )
+
+
+def exact(sets: DataFrame, threshold: float) -> DataFrame:
+    """(id, linked, edges) by brute force: nothing that reaches the threshold is left out.
+
+    Every class lives in its nearest cluster and visits each later one that its angle to the centroid lets reach: nearer
+    than the cluster's widest angle and that of the threshold. Clusters and visitors meet in tiles of two blocks.
+    """
+    middles = centroids(sets)
+    shared = sets.sparkSession.sparkContext.broadcast(middles)
+    reach = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6
+
+    def angles(batch, part):
+        at = np.flatnonzero(np.array(batch[1].to_pylist(), dtype=object) == part)
+        c = shared.value.get(part)
+        x = _matrix(batch[2].take(pa.array(at)))
+        return at, np.zeros((len(at), 1)) if c is None else np.arccos(np.clip(x @ c.T, -1, 1))
+
+    def settle(batches):
+        for batch in batches:
+            for part in sorted(set(batch[1].to_pylist())):
+                at, away = angles(batch, part)
+                home = away.argmin(1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch[0].take(pa.array(at)), pa.array([part] * len(at), pa.string()), pa.array(home.astype(np.int32)), pa.array(away[np.arange(len(at)), home])],
+                    ["id", "part", "home", "away"],
+                )
+
+    rows = sets.select("id", "part", "embedding")
+    homes = common.map_arrow(rows, settle, "id long, part string, home int, away double")
+    # at most CENTROIDS rows and one for each part that the sample missed
+    widest: dict[str, dict[int, float]] = {}
+    for r in homes.groupBy("part", "home").agg(F.max("away").alias("away")).collect():
+        widest.setdefault(r["part"], {})[r["home"]] = r["away"]
+    wide = sets.sparkSession.sparkContext.broadcast(widest)
+
+    def visit(batches):
+        for batch in batches:
+            for part in sorted(set(batch[1].to_pylist())):
+                at, away = angles(batch, part)
+                home = away.argmin(1)
+                bound = np.array([wide.value[part].get(c, -9.0) for c in range(away.shape[1])]) + reach
+                goes = (away <= bound) & (np.arange(away.shape[1]) > home[:, None])
+                goes[np.arange(len(at)), home] = True
+                row, cluster = np.nonzero(goes)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([f"{part}/{c}" for c in cluster.tolist()], pa.string()),
+                        pa.array((cluster != home[row]).astype(np.int32)),
+                        batch[0].take(pa.array(at[row])),
+                    ],
+                    ["shard", "guest", "id"],
+                )
+
+    placed = common.map_arrow(rows, visit, "shard string, guest int, id long")
+    counts = placed.groupBy("shard").agg(*[F.ceil(F.sum(w) / BLOCK).cast("int").alias(n) for w, n in ((1 - F.col("guest"), "own"), (F.col("guest"), "guests"))])
+    cut = placed.join(counts, "shard").filter("own > 0")
+    block = F.pmod(F.xxhash64("id", F.lit("block")), F.when(F.col("guest") == 1, F.col("guests")).otherwise(F.col("own"))).cast("int")
+    # a guest block meets every own block, an own block every guest block and every own block
+    own, guests = F.sequence(F.lit(0), F.col("own") - 1), F.sequence(F.lit(0), F.col("guests") - 1)
+    none = F.array().cast("array<struct<a:int,b:int,kind:int>>")
+    tile = lambda a, b, kind: F.struct(a.alias("a"), b.alias("b"), F.lit(kind).alias("kind"))
+    b = F.col("block")
+    with_own = F.transform(own, lambda o: tile(F.least(b, o), F.greatest(b, o), 0))
+    with_guests = F.when(F.col("guests") > 0, F.transform(guests, lambda g: tile(b, g, 1))).otherwise(none)
+    as_guest = F.transform(own, lambda o: tile(o, b, 1))
+    meets = F.explode(F.when(F.col("guest") == 1, as_guest).otherwise(F.concat(with_own, with_guests)))
+    tiled = cut.withColumn("block", block).withColumn("t", meets)
+    side = F.when(F.col("t.kind") == 1, F.col("guest")).when(F.col("t.a") == F.col("t.b"), 2).when(b == F.col("t.a"), 0).otherwise(1)
+    tiled = tiled.select(F.xxhash64("shard", "t.a", "t.b", "t.kind").alias("tile"), side.alias("side"), "id")
+    tiled = tiled.join(sets.select("id", "embedding", "copies"), "id")
+
+    def compare(group):
+        if group.num_rows > 1:
+            x, side = _matrix(group["embedding"]), group["side"].to_numpy()
+            full = (x @ x.T >= threshold) & ((side[:, None] != side[None, :]) | (side[:, None] == 2))
+            full |= full.T
+            np.fill_diagonal(full, False)
+            yield from _found(full, group["id"].to_numpy(), group["copies"].to_numpy())
+
+    return common.map_sorted(tiled, "tile", compare, FOUND)
+
+
 def search(shards: DataFrame, graph: DataFrame, beam: int, threshold: float) -> DataFrame:
     """(id, linked, edges): per class and tile what it links with, and links that span the tile's groups."""
 
@@ -216,24 +325,7 @@ def search(shards: DataFrame, graph: DataFrame, beam: int, threshold: float) ->
             full[q, base[in_range(here, x[q], local, start, beam, threshold, place.get(q))]] = True
         full |= full.T
         np.fill_diagonal(full, False)
-        hit = np.flatnonzero(full.any(1))
-        copies = group["copies"].to_numpy()
-        seen, edges = np.zeros(len(ids), dtype=bool), {int(h): [] for h in hit}
-        for first in hit.tolist():
-            if seen[first]:
-                continue
-            seen[first], front = True, [first]
-            while front:
-                a = front.pop()
-                for b in np.flatnonzero(full[a] & ~seen).tolist():
-                    seen[b] = True
-                    edges[a].append(int(ids[b]))
-                    front.append(b)
-        pair = pa.struct([("id", pa.int64()), ("copies", pa.int64())])
-        linked = [[{"id": int(ids[b]), "copies": int(copies[b])} for b in np.flatnonzero(full[a])] for a in hit.tolist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[hit]), pa.array(linked, pa.list_(pair)), pa.array([edges[int(a)] for a in hit], pa.list_(pa.int64()))], ["id", "linked", "edges"]
-        )
+        yield from _found(full, ids, group["copies"].to_numpy())
 
     # blocks of one shard meet in pairs: the graph of the first is searched for the second
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -241,15 +333,36 @@ def search(shards: DataFrame, graph: DataFrame, beam: int, threshold: float) ->
     low, high = F.least("block", "other"), F.greatest("block", "other")
     side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
     tiled = rows.select(F.xxhash64("shard", low, high).alias("tile"), side.alias("side"), "id", "embedding", "copies").join(graph, "id", "left")
-    pair = "array<struct<id: bigint, copies: bigint>>"
-    return common.map_sorted(tiled, "tile", find, f"id long, linked {pair}, edges array<long>")
+    return common.map_sorted(tiled, "tile", find, FOUND)
 
 
 def audit(sets: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Share of the true links of AUDIT classes (the first by hash) that were found."""
-    rows = sets.orderBy(F.xxhash64("first", F.lit("audit")), "id").limit(AUDIT).select("id", "part", "embedding", "copies").collect()
+    """Average share of true links that were found, over audited classes that have links.
+
+    Classes are audited in passes, AUDIT of them (by hash) and then more, until LINKED with links are met or none is left.
+    The average over classes and the one that gives every group of linked classes the same weight both count: the lower.
+    """
+    # how many have been audited decides the range of the hash, so that each pass is one scan
+    order = F.pmod(F.xxhash64("first", "id", F.lit("audit")), F.lit(2**40))
+    total = sets.count()
+    known: dict[int, tuple[int, int]] = {}
+    low, wanted = 0, AUDIT
+    while low < 2**40 and total and len(known) < LINKED:
+        high = min(2**40, low + -(-(2**40) * wanted // total))
+        chosen = sets.filter((order >= low) & (order < high))
+        known |= _audited(sets, counts, chosen.select("id", "part", "embedding", "copies").collect(), threshold)
+        low, wanted = high, min(wanted * 2, 16 * AUDIT)
+    if not known:
+        return 1.0  # every class was compared with all others, and none has a link
+    share = np.array([min(got, want) / want for got, want in known.values()])
+    weight = np.array([1 / (1 + want) for _, want in known.values()])
+    return float(min(share.mean(), (share * weight).sum() / weight.sum()))
+
+
+def _audited(sets: DataFrame, counts: DataFrame, rows: list, threshold: float) -> dict[int, tuple[int, int]]:
+    """Links found and true links of those rows that have some."""
     if not rows:
-        return 1.0
+        return {}
     by: dict[str, list] = {}
     for r in rows:
         by.setdefault(r["part"], []).append(r)
@@ -274,20 +387,27 @@ def audit(sets: DataFrame, counts: DataFrame, threshold: float) -> float:
     own = {r["id"]: r["copies"] for r in rows}
     want = {r["id"]: r["n"] - own[r["id"]] for r in true.collect()}
     got = {r["id"]: r["n"] for r in counts.join(F.broadcast(true.select("id")), "id").select("id", F.col("_links").alias("n")).collect()}
-    total = sum(want.values())
-    return sum(min(got.get(i, 0), n) for i, n in want.items()) / total if total else 1.0
+    return {i: (got.get(i, 0), n) for i, n in want.items() if n > 0}
 
 
 def near_copies(vectors: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, beam: int = BEAM) -> DataFrame:
     """vec_id, n_links, component_id, kept of each vector."""
     base = vectors.select("vec_id", "embedding", "label")
     sets = classes(base)
+
+    def counted(found: DataFrame) -> DataFrame:
+        united = found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("linked"))).alias("linked"))
+        return common.keep(united.select("id", F.aggregate("linked", F.lit(0).cast("bigint"), lambda a, x: a + x["copies"]).alias("_links")), "counts")
+
     while True:
         shards = sharded(sets, overlap)
         found = common.keep(search(shards, graphs(shards, beam), beam, threshold), "found")
-        united = found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("linked"))).alias("linked"))
-        counts = common.keep(united.select("id", F.aggregate("linked", F.lit(0).cast("bigint"), lambda a, x: a + x["copies"]).alias("_links")), "counts")
-        if audit(sets, counts, threshold) >= RECALL or overlap >= MOST_OVERLAP:
+        counts = counted(found)
+        if audit(sets, counts, threshold) >= RECALL:
+            break
+        if overlap >= MOST_OVERLAP:
+            found = common.keep(exact(sets, threshold), "found")
+            counts = counted(found)
             break
         overlap, beam = overlap + 1, beam * 2
     roots = common.components(found.select(F.col("id").alias("a"), F.explode("edges").alias("b"))).withColumnRenamed("node", "id")

@@ -200,3 +200,34 @@ def test_vectors(spark, monkeypatch):
     assert out[2001]["component_id"] == out[None]["component_id"] == 0 or out[2001]["component_id"] == out[5]["component_id"]
     assert all(r["kept"] == (r["component_id"] == i) for i, r in out.items() if i is not None)
     assert vectors.digest(df.limit(0)).collect() == []
+
+
+def test_vectors_end_exact_where_the_search_fails(spark, monkeypatch):
+    """A search that finds nothing: the audit sees it, and brute force finds every link."""
+    monkeypatch.setattr(vectors, "SHARD", 30)
+    monkeypatch.setattr(vectors, "BLOCK", 25)
+    monkeypatch.setattr(vectors, "MOST_OVERLAP", 2)
+    search = vectors.search
+    monkeypatch.setattr(vectors, "search", lambda *a: search(*a).filter("id < 0"))
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(120, 8))[rng.integers(0, 120, 200)] + rng.normal(size=(200, 8)) * 0.1, rng.normal(size=8) + rng.normal(size=(80, 8)) * 0.02])
+    x = x.astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    same = np.arange(len(x)) % 2
+    want = (u @ u.T >= 0.98) & (same[:, None] == same[None, :])
+    np.fill_diagonal(want, False)
+    got = {r["vec_id"]: r["n_links"] for r in vectors.digest(df).collect()}
+    assert want.sum() > 2_000 and [got[i] for i in range(len(x))] == want.sum(1).tolist()
+
+
+def test_audit_is_not_outweighed_by_a_hot_group(spark, monkeypatch):
+    """All links of one hot group and none of 20 pairs: of all links 99 in 100 are found, of the groups one."""
+    monkeypatch.setattr(vectors, "AUDIT", 16)
+    rng = np.random.default_rng(7)
+    pairs = np.repeat(rng.normal(size=(20, 16)), 2, axis=0) + rng.normal(size=(40, 16)) * 0.001
+    x = np.concatenate([pairs, rng.normal(size=16) + rng.normal(size=(100, 16)) * 0.001])
+    sets = spark.createDataFrame([(i, "1:16", v.tolist(), i, 1) for i, v in enumerate(x)], "id long, part string, embedding array<double>, first long, copies long")
+    counts = spark.createDataFrame([(i, 99) for i in range(40, 140)], "id long, _links long")
+    assert vectors.audit(sets, counts, 0.98) < vectors.RECALL
+    assert vectors.audit(sets, counts.union(spark.createDataFrame([(i, 1) for i in range(40)], counts.schema)), 0.98) == 1.0
