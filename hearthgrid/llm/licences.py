@@ -1,10 +1,17 @@
 """Licence scans: a trained paragraph classifier, confirmed by templates.
 
-Paragraphs are lines. Features are word n-grams (one to three words) that hold a word of CUES; the classes are licence
-families and `unknown`. A logistic regression is fitted on the templates below, whole and with words left out or mixed
-in, and on lines that say nothing of licences; the temperature that makes held-out variants likeliest calibrates it. A
-line without a cue has no feature and is unknown. A family is reported if its probability reaches CERTAIN and one of its
-templates shares COMMON of its words with the line.
+Paragraphs end at blank lines. Wrapped lines are rejoined: units are single lines and runs of neighbouring lines of a
+paragraph that a template's words can span, each rejoined by blanks (of a run's first and last line only as many words
+as the longest template has). Features are word n-grams (one to three words) that hold a word of CUES; the classes are
+licence families and `unknown`. A logistic regression is fitted on the templates below, whole and with words left out or
+mixed in, and on lines that say nothing of licences; the temperature that makes held-out variants likeliest calibrates
+it. A unit without a cue has no feature and is unknown.
+
+A family is a candidate in a unit if it is likelier than `unknown`, one of its templates shares COMMON of its words with
+the unit, and (as GPL words are in every LGPL grant) one of the cue words they share is in no template of a likelier
+candidate. It is reported if its probability, given that it is none of the other candidates, reaches CERTAIN. Of runs of
+a family that overlap the narrowest counts, then the one with the larger share; its first line is the place. A run
+also takes the place of a narrower one inside it that it explains (CC BY / NC in two lines).
 
 Scoring is joins and sums over distinct lines; weights are as many as the templates' n-grams.
 
@@ -113,6 +120,7 @@ NOTHING = [
 FAMILIES = (*TEMPLATES, "unknown")
 CERTAIN, COMMON, GRAMS, VARIANTS = 0.5, 0.6, 3, 40
 _NOT_WORD = r"[^a-z0-9.']+"
+_NOT_RUN, _RUN_WORD = r"[^A-Za-z0-9.']+", r"[A-Za-z0-9][A-Za-z0-9.']*"
 CUE_LINE = r"(?i)\b(?:" + "|".join(map(re.escape, CUES)) + r")\b"
 
 
@@ -126,6 +134,8 @@ def grams_of(words: list[str]) -> set[str]:
 
 
 _CUES = frozenset(CUES)
+#: Words of the longest template.
+LONGEST = max(len(words_of(t)) for templates in TEMPLATES.values() for t in templates)
 
 
 def _variants(line: str, rng: random.Random, n: int) -> list[list[str]]:
@@ -186,8 +196,8 @@ def _grams(words: Column) -> Column:
     return F.array_distinct(F.concat(*map(of, range(1, GRAMS + 1))))
 
 
-def scored(lines: DataFrame) -> DataFrame:
-    """(line, family, probability, confirmed) of distinct lines."""
+def _rated(lines: DataFrame) -> DataFrame:
+    """(line, words, z) of distinct lines; z are the families with their logits."""
     weights, bias = model()
     k = len(FAMILIES)
     table = lines.sparkSession.createDataFrame([(g, *w) for g, w in weights.items()], ", ".join(["gram string", *[f"w{i} double" for i in range(k)]]))
@@ -197,19 +207,119 @@ def scored(lines: DataFrame) -> DataFrame:
     sums = hits.groupBy("line").agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(k)])
     joined = split.join(sums, "line", "left")
     z = F.array(*[F.struct((F.coalesce(f"w{i}", F.lit(0.0)) + F.lit(bias[i])).alias("z"), F.lit(name).alias("family")) for i, name in enumerate(FAMILIES)])
-    best = joined.select("line", "words", z.alias("z")).withColumn("top", F.array_max("z"))
-    total = F.aggregate("z", F.lit(0.0), lambda acc, x: acc + F.exp(x["z"] - F.col("top.z")))
-    rated = best.select("line", "words", F.col("top.family").alias("family"), F.round(1 / total, 6).alias("probability"))
+    return joined.select("line", "words", z.alias("z")).withColumn("top", F.array_max("z"))
+
+
+def _templates(spark) -> DataFrame:
     known = [(name, sorted(set(words_of(t)))) for name, templates in TEMPLATES.items() for t in templates]
-    templates = lines.sparkSession.createDataFrame(known, "family string, template array<string>")
-    share = F.size(F.array_intersect("words", "template")) / F.size("template")
+    return spark.createDataFrame(known, "family string, template array<string>")
+
+
+def _total() -> Column:
+    return F.aggregate("z", F.lit(0.0), lambda acc, x: acc + F.exp(x["z"] - F.col("top.z")))
+
+
+def _share() -> Column:
+    return F.size(F.array_intersect("words", "template")) / F.size("template")
+
+
+def scored(lines: DataFrame) -> DataFrame:
+    """(line, family, probability, confirmed) of distinct lines: the likeliest family."""
+    rated = _rated(lines).select("line", "words", F.col("top.family").alias("family"), F.round(1 / _total(), 6).alias("probability"))
     # a few templates for each family
-    compared = rated.join(F.broadcast(templates), "family", "left").groupBy("line", "family", "probability").agg(F.max(share).alias("share"))
+    compared = rated.join(F.broadcast(_templates(lines.sparkSession)), "family", "left").groupBy("line", "family", "probability").agg(F.max(_share()).alias("share"))
     return compared.select("line", "family", "probability", (F.coalesce("share", F.lit(0.0)) >= COMMON).alias("common")).select(
         "line", "family", "probability", (F.col("common") & (F.col("probability") >= CERTAIN)).alias("confirmed")
     )
 
 
+def every_family(lines: DataFrame) -> DataFrame:
+    """(line, family, probability, share, own) of the families that distinct lines are reported for; own are the cue words."""
+    unknown = F.element_at("z", len(FAMILIES))["z"]
+    likely = _rated(lines).withColumn("total", _total()).withColumn("x", F.explode(F.filter("z", lambda x: x["z"] > unknown)))
+    likely = likely.select("line", "words", F.col("x.family").alias("family"), (F.exp(F.col("x.z") - F.col("top.z")) / F.col("total")).alias("p"))
+    # a few templates for each family
+    met = likely.join(F.broadcast(_templates(lines.sparkSession)), "family").withColumn("share", _share()).filter(F.col("share") >= COMMON)
+    own = F.array_intersect(F.array_intersect("words", "template"), F.array(*map(F.lit, sorted(_CUES))))
+    shared = met.groupBy("line", "family", "p").agg(F.max("share").alias("share"), F.array_distinct(F.flatten(F.collect_list(own))).alias("own"))
+    listed = shared.groupBy("line").agg(F.sort_array(F.collect_list(F.struct("p", "family", "share", "own")), asc=False).alias("all"))
+
+    def step(acc, x):
+        distinct = ~F.exists(acc, lambda y: F.size(F.array_except(x["own"], _words_of_family(y["family"]))) == 0)
+        return F.when(distinct, F.concat(acc, F.array(x))).otherwise(acc)
+
+    none = F.array().cast("array<struct<p:double,family:string,share:double,own:array<string>>>")
+    chosen = listed.withColumn("all", F.aggregate("all", none, step))
+    chosen = chosen.withColumn("sum", F.aggregate("all", F.lit(0.0), lambda a, x: a + x["p"])).select("line", "sum", F.explode("all").alias("x"))
+    rest = F.greatest(1 - F.col("sum") + F.col("x.p"), F.col("x.p"))
+    return chosen.select("line", "x.family", F.round(F.col("x.p") / rest, 6).alias("probability"), "x.share", "x.own").filter(F.col("probability") >= CERTAIN)
+
+
+def _words_of_family(family: Column) -> Column:
+    """All words of a family's templates."""
+    words = {name: sorted({w for t in templates for w in words_of(t)}) for name, templates in TEMPLATES.items()}
+    return F.element_at(F.create_map(*[x for name, ws in words.items() for x in (F.lit(name), F.array(*map(F.lit, ws)))]), family)
+
+
+def _runs(lines: DataFrame) -> DataFrame:
+    """(key, number, last, line) of units that hold a cue, from (key, lines, cued): lines, and runs of neighbouring ones.
+
+    A run's inner lines have fewer words than the longest template, so every stretch of as many words is in one.
+    """
+    size = LONGEST
+    words = lambda line: F.filter(F.split(line, _NOT_RUN), lambda w: w != "")
+    single = lines.select("key", F.explode("cued").alias("x")).select("key", "x.number", F.col("x.number").alias("last"), "x.line")
+    mark = F.transform(
+        "lines",
+        lambda line: F.struct(F.regexp_count(line, F.lit(_RUN_WORD)).alias("n"), line.rlike(CUE_LINE).alias("cue"), line.rlike(r"\S").alias("some")),
+    )
+
+    def ends(i, marks):
+        """Last lines of the runs from line i on that hold a cue."""
+        first = F.get(marks, i)
+        none = F.array().cast("array<int>")
+        zero = F.struct(F.lit(0).alias("inner"), (first["n"] == 0).alias("shut"), first["cue"].alias("cue"), none.alias("ends"))
+        following = F.transform(F.slice(marks, i + 2, F.lit(size)), lambda m, j: F.struct(m["n"].alias("n"), m["cue"].alias("cue"), m["some"].alias("some"), (i + 1 + j).alias("at")))
+
+        def step(acc, m):
+            shut, cue = acc["shut"] | ~m["some"], acc["cue"] | m["cue"]
+            more = F.when(shut | ~cue | (m["n"] == 0), acc["ends"]).otherwise(F.concat(acc["ends"], F.array(m["at"])))
+            inner = acc["inner"] + m["n"]
+            return F.struct(inner.alias("inner"), (shut | (inner >= size - 1)).alias("shut"), cue.alias("cue"), more.alias("ends"))
+
+        return F.aggregate(following, zero, step, lambda acc: acc["ends"])
+
+    def joined(i, last):
+        first = words(F.get("lines", i))
+        lead = F.slice(first, F.greatest(F.size(first) - size + 1, F.lit(1)), F.lit(size))
+        inner = F.slice("lines", i + 2, last - i - 1)
+        return F.concat_ws(" ", F.array_join(lead, " "), F.array_join(inner, " "), F.array_join(F.slice(words(F.get("lines", last)), 1, F.lit(size)), " "))
+
+    marked = lines.withColumn("marks", mark)
+    places = F.transform("marks", lambda m, i: F.transform(ends(i, F.col("marks")), lambda last: F.struct(i.alias("number"), last.alias("last"))))
+    placed = marked.select("key", "lines", F.flatten(places).alias("places"))
+    runs = F.transform("places", lambda x: F.struct(x["number"].alias("number"), x["last"].alias("last"), joined(x["number"], x["last"]).alias("line")))
+    runs = placed.select("key", F.explode(F.filter(runs, lambda x: x["line"].rlike(CUE_LINE))).alias("x"))
+    return single.unionByName(runs.select("key", "x.number", "x.last", "x.line"))
+
+
+def _placed(found: DataFrame) -> DataFrame:
+    """(key, found): one place for each grant, from all confirmed units."""
+    one = F.struct((F.col("last") - F.col("number")).alias("width"), (-F.col("share")).alias("share"), "number", "last", "family", "probability", "own")
+    listed = found.groupBy("key", "family").agg(F.sort_array(F.collect_list(one)).alias("all"))
+    none = "array<struct<width:int,share:double,number:int,last:int,family:string,probability:double,own:array<string>>>"
+    apart = lambda acc, x: ~F.exists(acc, lambda y: (y["number"] <= x["last"]) & (x["number"] <= y["last"]))
+    kept = listed.withColumn("all", F.aggregate("all", F.array().cast(none), lambda acc, x: F.when(apart(acc, x), F.concat(acc, F.array(x))).otherwise(acc)))
+    whole = kept.groupBy("key").agg(F.flatten(F.collect_list("all")).alias("all"))
+
+    def explained(x):
+        inside = lambda y: (y["number"] <= x["number"]) & (x["last"] <= y["last"]) & (y["width"] > x["width"])
+        return F.exists("all", lambda y: inside(y) & (y["family"] != x["family"]) & (F.size(F.array_except(x["own"], _words_of_family(y["family"]))) == 0))
+
+    rest = F.filter("all", lambda x: ~explained(x))
+    return whole.select("key", F.sort_array(F.transform(rest, lambda x: F.struct(x["number"].alias("number"), x["family"].alias("family"), x["probability"].alias("probability")))).alias("found"))
+
+
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, key, found): numbers of the licence lines of each document with family and probability."""
     text = F.coalesce("text", F.lit(""))
@@ -217,11 +327,14 @@ def find(docs: DataFrame) -> DataFrame:
     keyed = docs.select("doc_id", key.alias("key"), text.alias("text"))
     numbered = F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("number"), line.alias("line")))
     cued = F.filter(numbered, lambda x: x["line"].rlike(CUE_LINE))
-    some = keyed.withColumn("cued", F.when(F.col("text").rlike(CUE_LINE), cued)).select("doc_id", "key", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"), "cued")
+    has = F.col("text").rlike(CUE_LINE)
+    some = keyed.withColumn("cued", F.when(has, cued)).select(
+        "doc_id", "key", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"), F.when(has, F.split("text", "\n", -1)).alias("lines"), "cued"
+    )
     some = common.keep(some, "licences")
-    lines = some.select("key", F.explode("cued").alias("x")).select("key", "x.number", "x.line").distinct()
-    known = scored(lines.select("line").distinct()).filter("confirmed")
-    found = lines.join(known, "line").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("number", "family", "probability"))).alias("found"))
+    units = common.keep(_runs(some.filter("cued is not null").select("key", "lines", "cued").dropDuplicates(["key"])), "units")
+    known = every_family(units.select("line").distinct())
+    found = _placed(units.join(known, "line"))
     return some.select("doc_id", "key", "n_lines").join(found, "key", "left")
 
 

@@ -231,3 +231,21 @@ def test_audit_is_not_outweighed_by_a_hot_group(spark, monkeypatch):
     counts = spark.createDataFrame([(i, 99) for i in range(40, 140)], "id long, _links long")
     assert vectors.audit(sets, counts, 0.98) < vectors.RECALL
     assert vectors.audit(sets, counts.union(spark.createDataFrame([(i, 1) for i in range(40)], counts.schema)), 0.98) == 1.0
+
+
+def test_wrapped_licences(docs):
+    """Grants over several lines, two families in one line, and blank lines that part paragraphs."""
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met"
+    gpl = "This is free: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, version 3."
+    narrow = "Permission is hereby\ngranted free of charge\nto any person obtaining\na copy of this software\nand associated\ndocumentation files"
+    texts = [
+        (1, f"Intro\n\n{bsd}"),
+        (2, gpl),
+        (3, narrow),
+        (4, "Licensed under the MIT License or licensed under the Apache License, Version 2.0."),
+        (5, "Redistribution and use in source and binary forms, with or\n\nwithout modification, are permitted provided that the following conditions are met"),
+        (6, "Licensed under the GNU Lesser General Public License, version 2.1\nThis work is licensed under the GNU General Public License, version 3."),
+        (7, "Licensed under CC BY\nNC 4.0"),
+    ]
+    out = {r["doc_id"]: (r["families"], r["n_licences"]) for r in licences.digest(docs(texts)).collect()}
+    assert out == {1: ("bsd", 1), 2: ("gpl", 1), 3: ("mit", 1), 4: ("apache,mit", 2), 5: ("", 0), 6: ("gpl,lgpl", 2), 7: ("cc-by-nc", 1)}
