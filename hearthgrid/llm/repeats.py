@@ -2,8 +2,7 @@
 
 Level one takes windows of half the length. Of the half windows in each full window the one with the smallest hash is
 looked at, so equal full windows look at the same one; those that occur once are done. Only windows around a half window
-that repeats are extended to twice that length and counted again, and so on to longer lengths (`longest`) until none
-survives. Counting is a partial sum in each task before the shuffle; positions go back to their documents alone.
+that repeats are extended to twice that length and counted again: one doubling, and the result is whole. Counting is a partial sum in each task before the shuffle; positions go back to their documents alone.
 
 Texts that occur as a whole more than once need no windows; one of them lends its windows to the others. Hashes of
 windows have 96 bits.
@@ -174,7 +173,10 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def longest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(length, windows): how many starts repeat at the length, twice the length and so on until none does."""
+    """(length, windows): how many starts repeat at the length, twice the length and so on until none does.
+
+    A helper that no query uses: each length is counted from the start, and texts that exist as whole copies are left out.
+    """
     spark, out = docs.sparkSession, []
     while True:
         n = repeated(settle(docs, length), length).agg(F.sum(F.size("starts"))).first()[0] or 0
