@@ -1,4 +1,4 @@
-"""Writing tables: keyed, partitioned, CSV, views, retention."""
+"""Writing tables: keyed, partitioned, CSV, views, a retention filter."""
 
 import time
 
