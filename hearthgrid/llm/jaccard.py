@@ -333,20 +333,22 @@ def join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, reca
         runs *= 2
     counts = links.filter("what = 0").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("_links"))
     linked = common.components(links.filter("what = 1").select("a", "b")).withColumnRenamed("node", "id")
-    known = sets.select("id", "size", "f1", "f2", "first", "copies").join(counts, "id", "left").join(linked, "id", "left")
+    known = sets.select("id", "size", "f1", "f2", "first", F.struct("first", "k1").alias("_own"), "copies").join(counts, "id", "left").join(linked, "id", "left")
     root = F.coalesce("root", "id")
-    heads = known.filter("root is not null").groupBy("root").agg(F.min("first").alias("_head"))
-    known = known.withColumn("root", root).join(heads, "root", "left").withColumn("_head", F.coalesce("_head", "first"))
+    heads = known.filter("root is not null").groupBy("root").agg(F.min("_own").alias("_head"))
+    known = known.withColumn("root", root).join(heads, "root", "left").withColumn("_head", F.coalesce("_head", "_own"))
     rows = everything.select("doc_id", "k1", "size", "f1", "f2").join(known, ["size", "f1", "f2"], "left")
     own = F.coalesce("doc_id", F.lit(LAST))
+    # the head is one text: others under its doc_id, or without one like it, are not
+    itself = F.struct(own.alias("first"), F.col("k1").alias("k1"))
     name = lambda c: F.nullif(F.coalesce(c, own), F.lit(LAST))
     return rows.select(
         "doc_id",
         "k1",
         name(F.col("first")).alias("class_id"),
         F.coalesce(F.col("copies") - 1 + F.coalesce("_links", F.lit(0)), F.lit(0)).alias("n_links"),
-        name(F.col("_head")).alias("component_id"),
-        (F.coalesce("_head", own) == own).alias("kept"),
+        name(F.col("_head.first")).alias("component_id"),
+        (F.col("_head").isNull() | (F.col("_head") == itself)).alias("kept"),
     )
 
 

@@ -98,3 +98,12 @@ def test_components(spark, n):
         for a, b in edges:
             want[a] = want[b] = min(want[a], want[b])
     assert got == {k: v for k, v in want.items() if any(k in e for e in edges if e[0] != e[1])}
+
+
+def test_one_text_of_a_group_is_kept_whatever_its_id(docs):
+    words = [f"w{i}" for i in range(200)]
+    near = [" ".join([*words, f"end{i}"]) for i in range(3)]
+    rows = [(i, t) for i in (None, 7) for t in (near if i is None else [t.replace("w", "v") for t in near])]
+    out = jaccard.digest(docs(rows)).collect()
+    assert all(r["n_links"] == 2 for r in out) and sum(r["kept"] for r in out if r["doc_id"] is None) == 1 == sum(r["kept"] for r in out if r["doc_id"] == 7)
+    assert jaccard.stage(docs(rows)).count() == 2
