@@ -24,17 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, free: bool = True) -> DataFrame:
     """Write rows below the shared folder and read them back, which cuts the lineage.
 
-    The folder goes when the application ends.
+    The folder goes when the application ends. `free`: shuffle files of plans that are done are to go at once.
     """
     spark = df.sparkSession
     path = f"{session.work_dir(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    sweep(spark)
+    if free:
+        sweep(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
