@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, jaccard, licences, lines, merkle, mixing, packing, repeats, secrets, suffixes, toxicity, variants, vectors
+from . import common, jaccard, licences, lines, merkle, mixing, packing, repeats, secrets, suffixes, toxicity, trie, variants, vectors
 
 
 def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,7 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": _over("documents", licences.digest),
     "op9_toxicity": lambda spark, sf_dir: toxicity.digest(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")),
     "op10_merkle": _over("documents", merkle.digest),
+    "op11_trie": _over("conversations", trie.digest),
     "op12_lines": _over("documents", lines.digest),
     "op13_variants": _over("documents", variants.digest),
 }
-SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op6_repeats": repeats.SQL, "op10_merkle": merkle.SQL, "op12_lines": lines.SQL, "op13_variants": variants.SQL}
+SQL: dict[str, str] = {"op1_mixing": mixing.SQL, "op6_repeats": repeats.SQL, "op10_merkle": merkle.SQL, "op11_trie": trie.SQL, "op12_lines": lines.SQL, "op13_variants": variants.SQL}
