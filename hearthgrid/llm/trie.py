@@ -38,17 +38,17 @@ PIECE = 1 << 12
 
 def running(df: DataFrame, key: list[str], at: str, values: dict[str, str], total, combine, most: int) -> DataFrame:
     """Add, as values' keys, the total of each of values' columns up to and with each place `at` (0, 1, 2.. up to `most`) of a key."""
-    block = F.shiftright(at, SPAN.bit_length() - 1)
-    inside = Window.partitionBy(*key, "_block").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
-    out = df.withColumn("_block", block)
+    number, block = f"_block_{at}", F.shiftright(at, SPAN.bit_length() - 1)
+    inside = Window.partitionBy(*key, number).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    out = df.withColumn(number, block)
     out = out.withColumns({name: total(c).over(inside) for name, c in values.items()})
     if most < SPAN:
-        return out.drop("_block")
-    sums = df.groupBy(*key, block.alias("_block")).agg(*(total(c).alias(f"_{name}") for name, c in values.items()))
-    sums = running(sums, key, "_block", {f"_before_{name}": f"_{name}" for name in values}, total, combine, most // SPAN)
-    sums = sums.select(*key, (F.col("_block") + 1).alias("_block"), *(f"_before_{name}" for name in values))
-    out = out.join(sums, [*key, "_block"], "left")
-    return out.withColumns({name: combine(F.col(name), F.coalesce(f"_before_{name}", F.lit(0))) for name in values}).drop("_block", *(f"_before_{n}" for n in values))
+        return out.drop(number)
+    sums = df.groupBy(*key, block.alias(number)).agg(*(total(c).alias(f"_{name}") for name, c in values.items()))
+    sums = running(sums, key, number, {f"_before_{name}": f"_{name}" for name in values}, total, combine, most // SPAN)
+    sums = sums.select(*key, (F.col(number) + 1).alias(number), *(f"_before_{name}" for name in values))
+    out = out.join(sums, [*key, number], "left")
+    return out.withColumns({name: combine(F.col(name), F.coalesce(f"_before_{name}", F.lit(0))) for name in values}).drop(number, *(f"_before_{n}" for n in values))
 
 
 def numbered(conversations: DataFrame) -> DataFrame:
