@@ -77,7 +77,7 @@ def mix(docs: DataFrame, schedules=SCHEDULES, share: float = 1.5, most: float =
     for turn in range(-(-int(most * 1000) // 1000)):
         start = F.col("_before") + F.lit(turn) * F.col("source_size")
         take = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), whole - start))
-        part = start / F.col("target")
+        part = F.try_divide(start, F.col("target"))  # no word, no place
         at = inverse(schedules[0], part)
         for i, knots in enumerate(schedules[1:], 1):
             at = F.when(F.col("schedule") == i, inverse(knots, part)).otherwise(at)
