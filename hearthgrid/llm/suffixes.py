@@ -341,17 +341,11 @@ def duplicates(settled: DataFrame, length: int, k: int) -> DataFrame:
     return near.unionByName(far).groupBy("row").agg(F.collect_list(F.struct("at", "m0", "m1")).alias("found"))
 
 
-def covered(n: int, found: list[dict], length: int) -> np.ndarray:
-    """Which bytes lie in a window that starts earlier elsewhere."""
-    change = np.zeros(n + 1, dtype=np.int64)
-    if found:
-        at = np.array([f["at"] for f in found])
-        for word in ("m0", "m1"):
-            bits = np.array([f[word] for f in found], dtype=np.int64).view(np.uint64)
-            for i in range(64):
-                starts = at[(bits >> grams.U(i)) & grams.U(1) == 1] - i - (64 if word == "m1" else 0)
-                np.add.at(change, starts, 1)
-                np.add.at(change, starts + length, -1)
+def covered(n: int, at: np.ndarray, marks: np.ndarray, length: int) -> np.ndarray:
+    """Which bytes lie in a window that starts earlier elsewhere; bit i of the marks of a place: the one i bytes before it."""
+    rows, before = np.nonzero(np.unpackbits(marks.view(np.uint8).reshape(-1, 16), axis=1, bitorder="little"))
+    starts = at[rows] - before
+    change = np.bincount(starts, minlength=n + 1) - np.bincount(starts + length, minlength=n + 1)
     return np.cumsum(change[:n]) > 0
 
 
@@ -364,9 +358,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     def cut(batches):
         for batch in batches:
             out = [[] for _ in range(5)]
-            for doc_id, text, found in zip(*(batch.column(i) for i in range(3)), strict=True):
-                raw = text.as_py().encode()
-                gone = covered(len(raw), found.as_py() or [], length)
+            lists = batch.column(2)
+            ends, (at, m0, m1) = lists.offsets.to_numpy(), (lists.values.field(c).to_numpy() for c in ("at", "m0", "m1"))
+            marks = np.stack([m0, m1], axis=1)
+            for i, (doc_id, text) in enumerate(zip(batch.column(0), batch.column(1), strict=True)):
+                raw, part = text.as_py().encode(), slice(ends[i], ends[i + 1])
+                gone = covered(len(raw), at[part], marks[part], length)
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 kept = np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()
                 for column, value in zip(out, (doc_id.as_py(), len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()), strict=True):
