@@ -16,6 +16,8 @@ from hearthgrid import session
 
 #: White space of all word rules: blank and the code points 9 to 13.
 WHITE = r"[\x20\x09-\x0D]+"
+#: Bytes of a batch that is handed to Python.
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
 #: Rows that one window of a running sum should hold.
 WINDOW_ROWS = 4096
 
@@ -60,8 +62,17 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """mapInArrow with batches limited by bytes, as texts may be long, and memory given back at the end of a task."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(BATCH_KEY, None) != BATCH_BYTES:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def map_sorted(df: DataFrame, key: str, function, schema) -> DataFrame:

@@ -240,7 +240,7 @@ def verify(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         row, keep = np.repeat(np.arange(len(found)), sizes), n[at] > 1
         number = np.cumsum(n > 1) - 1
         row, column = row[keep], number[at[keep]]
-        both = np.zeros((len(found), len(found)), dtype=np.float64)
+        both = np.zeros((len(found), len(found)), dtype=np.float32 if sizes.max() < 1 << 24 else np.float64)  # whole numbers
         by = np.argsort(column, kind="stable")
         row, column = row[by], column[by]
         width = max(1, (1 << 22) // len(found))
@@ -249,11 +249,16 @@ def verify(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             mark = np.zeros((len(found), width), dtype=np.float32)
             mark[row[a:b], column[a:b] - start] = 1
             both += mark @ mark.T
-        union = sizes[:, None] + sizes[None, :] - both
-        linked = owned & (both >= threshold * union - 1e-9)
-        i, j = np.nonzero(linked)
+            del mark
+        i, j = np.nonzero(owned & (both > 0))
+        shared = both[i, j].astype(np.float64)
+        del both, owned
+        close = shared >= threshold * (sizes[i] + sizes[j] - shared) - 1e-9
+        i, j = i[close], j[close]
         if not len(i):
             return
+        linked = np.zeros((len(found), len(found)), dtype=bool)
+        linked[i, j] = True
         full = linked | linked.T
         links = full @ weights
         has = np.flatnonzero(links)

@@ -137,7 +137,7 @@ def reader(model: np.ndarray):
                 out.add(restore(form, model, ends=False))
         return frozenset(out - {""})
 
-    remembered = lru_cache(65_536)(read)
+    remembered = lru_cache(16_384)(read)
 
     def words(text: str) -> set[str]:
         lower = text.lower()
@@ -222,7 +222,7 @@ def score(docs: DataFrame, model: np.ndarray, weights: dict[str, float], bias: f
     def rate(batches):
         lattice, known = shared.value
         words = reader(lattice)
-        hits = lru_cache(200_000)(lambda w: tuple(f for f in features(w) if f in known))
+        hits = lru_cache(65_536)(lambda w: tuple(f for f in features(w) if f in known))
         for batch in batches:
             scores = []
             for text in batch[place]:
