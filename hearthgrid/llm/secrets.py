@@ -10,7 +10,7 @@ Defined results: a null text is an empty one and has no spans; equal rows give e
 scanned whole; a table without rows gives none; other columns are left alone.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -27,30 +27,62 @@ ENDPOINT = r"""\b(?:https?|wss?|ftp|ssh|s3|amqps?|postgres(?:ql)?|mysql|mongodb|
 BLANK = r"\n[\x20\x09\r]*\n"
 KINDS = ("assign", "access", "hex", "ident", "opaque", "endpoint")
 WINDOW = 256
+#: Matches whose lengths are added up at a time.
+CHUNK = 128
 _SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
-def matches(text: Column, like: str, pattern: str, group: int, least: int) -> Column:
-    """Spans (code points, end exclusive) of the leftmost matches that do not overlap, if `group` has `least` characters.
+def matches(text: Column, like: str, pattern: str, group: int, least: int, also: str | None = None) -> Column:
+    """Spans (code points, end exclusive) of the leftmost matches that do not overlap, if `group` has `least` characters
+    and the match fits `also`.
 
-    The text between the matches tells where they are, as no function gives all positions.
+    The text between the matches tells where they are, as no function gives all positions. Lengths are added up in
+    chunks of CHUNK matches, from the sums of the chunks before, so the work grows with the text and the matches.
     """
-    parts = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = hits if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g).cast("bigint"))
+    found = F.transform(
+        F.arrays_zip(hits.alias("hit"), values.alias("value")),
+        lambda m: F.struct(F.length(m["hit"]).cast("bigint").alias("long"), ((F.length(m["value"]) >= least) & (m["hit"].rlike(also) if also else F.lit(True))).alias("good")),
     )
+    parts = F.arrays_zip(gaps.alias("gap"), found.alias("hit"))  # one gap more than hits
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPANS).alias("spans"))
 
     def step(acc, part):
-        start = acc["at"] + F.length(part["gap"])
-        end = start + F.coalesce(F.length(part["hit"]), F.lit(0))
+        start = acc["at"] + part["gap"]
+        end = start + F.coalesce(part["hit"]["long"], F.lit(0))
         span = F.array(F.struct(start.alias("start"), end.alias("end")))
-        found = F.length(F.coalesce(part["value"], F.lit(""))) >= least
-        return F.struct(end.alias("at"), F.when(found, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+        return F.struct(end.alias("at"), F.when(part["hit"]["good"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
-    none = F.array().cast(_SPANS)
-    return F.when(text.rlike(like), F.aggregate(parts, zero, step, lambda acc: acc["spans"])).otherwise(none)
+    def within(chunk):
+        # positions relative to the chunk
+        return F.aggregate(chunk, zero, step)
+
+    def placed(acc, chunk):
+        return F.struct(
+            (acc["at"] + chunk["at"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")
+        )
+
+    def spread(chunks):
+        none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("starts"))
+        starts = F.aggregate(chunks, none, placed, lambda acc: acc["starts"])
+        moved = F.transform(
+            F.arrays_zip(chunks.alias("chunk"), starts.alias("start")),
+            lambda c: F.transform(c["chunk"]["spans"], lambda s: F.struct((s["start"] + c["start"]).alias("start"), (s["end"] + c["start"]).alias("end"))),
+        )
+        return F.flatten(moved)
+
+    def cut(parts):
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1)), F.lit(CHUNK))
+        return F.transform(firsts, lambda first: within(F.slice(parts, first, CHUNK)))
+
+    return F.when(text.rlike(like), once(parts, lambda p: once(cut(p), spread))).otherwise(F.array().cast(_SPANS))
+
+
+def once(value: Column, function) -> Column:
+    """function(value), where value is computed a single time however often the function names it."""
+    return F.element_at(F.transform(F.array(value), function), 1)
 
 
 def _tagged(column: str, kind: str) -> Column:
@@ -81,31 +113,32 @@ def scan(docs: DataFrame) -> DataFrame:
     )
     text = F.col("text")
     anchored = (F.size("access") > 0) | (F.size("ident") > 0) | (F.size("endpoint") > 0)
-    opaque = F.when(anchored, matches(text, OPAQUE, OPAQUE, 0, 1)).otherwise(F.array().cast(_SPANS))
+    opaque = F.when(anchored, matches(text, OPAQUE, OPAQUE, 0, 1, r"(?=.*[0-9])(?=.*[A-Za-z])")).otherwise(F.array().cast(_SPANS))
     cuts = F.when(anchored, matches(text, BLANK, BLANK, 0, 1)).otherwise(F.array().cast(_SPANS))
-    mixed = F.filter(
-        opaque,
-        lambda s: F.substr(text, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int")).rlike(r"(?=.*[0-9])(?=.*[A-Za-z])"),
-    )
-    return base.select("doc_id", "key", "assign", "access", "hex", "ident", "endpoint", mixed.alias("opaque"), cuts.alias("cuts"))
+    return base.select("doc_id", "key", "assign", "access", "hex", "ident", "endpoint", opaque.alias("opaque"), cuts.alias("cuts"))
 
 
 def linked(scanned: DataFrame) -> DataFrame:
     """Weak spans that complementary parts support: (key, weak spans)."""
-    every = F.concat(*[_tagged(k, k) for k in KINDS])
+    # blank lines stand between the parts, as a seventh kind: their number up to a part is its scope
+    lines = F.transform("cuts", lambda s: F.struct(s["start"].alias("start"), F.lit(len(KINDS)).alias("number"), s["end"].alias("end")))
+    every = F.concat(*[_tagged(k, k) for k in KINDS], lines)
+    before = Window.partitionBy("key").orderBy("p.start", "p.number", "p.end").rowsBetween(Window.unboundedPreceding, 0)
     parts = (
         scanned.filter((F.size("access") > 0) | (F.size("ident") > 0) | (F.size("endpoint") > 0))
-        .select("key", "cuts", F.explode(every).alias("p"))
+        .select("key", F.explode(every).alias("p"))
+        .distinct()
+        .withColumn("scope", F.count_if(F.col("p.number") == len(KINDS)).over(before))
+        .filter(F.col("p.number") < len(KINDS))
         .select(
             "key",
-            F.size(F.filter("cuts", lambda c: c["start"] < F.col("p.start"))).alias("scope"),
+            "scope",
             "p.start",
             "p.end",
             "p.number",
             # an access or ident identifies, an assign, hex or opaque is a secret
             F.when(F.col("p.number").isin(1, 3), "who").when(F.col("p.number") == 5, "where").otherwise("what").alias("role"),
         )
-        .distinct()
     )
     # what a base span covers is no weak part. Each part stands in all slots up to WINDOW behind its end, so whatever lies
     # within the gap or overlaps meets in the slot of the later start, whatever its length

@@ -36,6 +36,15 @@ def test_mixing_odd_rows_and_positions(docs):
     assert mixing.digest(docs([])).collect() == []
 
 
+def test_sources_without_words(docs):
+    data = docs([(1, "one two three", "x"), (2, "", "y"), (3, None, "y"), (4, " \n", None)])
+    got = {r["doc_id"]: (r["size"], r["source_size"], r["target"], r["taken"], r["position"]) for r in mixing.digest(data).collect()}
+    assert got[2] == got[3] == got[4] == (0, 0, 0.0, 0, None) and got[1][3] == 4
+    assert [r["doc_id"] for r in mixing.stage(data).collect()] == [1, 1]
+    empty = docs([(1, "", "x"), (2, None, None)])
+    assert [(r["target"], r["taken"]) for r in mixing.digest(empty).collect()] == [(0.0, 0)] * 2 and mixing.stage(empty).collect() == []
+
+
 def test_schedule_is_inverted(spark):
     from pyspark.sql import functions as F
 
@@ -85,6 +94,17 @@ def test_base_secrets(docs, corpus):
     assert secrets.digest(docs([])).collect() == []
 
 
+def test_spans_of_many_matches_and_scopes(docs):
+    """As many matches as a text of megabytes has: work must not grow with their square."""
+    many = "token=abcdef\n" * 200_000
+    texts = [(1, many), (2, "\n\n".join(f"client_id=u{i} 😀 secret=hunter{i % 10}2" for i in range(700)) + "\n\nclient_id=alone")]
+    got = {r["doc_id"]: r for r in secrets.digest(docs(texts)).collect()}
+    assert got[1]["n_assign"] == 200_000
+    check_base([got[1]], texts[:1])
+    spans = [s.split(":")[0] for s in got[2]["spans"].split(",")]
+    assert spans == ["ident", "assign"] * 700
+
+
 def test_weak_parts_need_each_other(docs):
     who, what, where = "AKIA" + "Z9" * 10, "opaqueTok3n" * 3, "https://db.internal/x"
     texts = [(1, what), (2, where), (3, f"{who} {what} {where}"), (4, f"{who}\n\n{what}"), (5, f"{who}{' ' * 400}{what}"), (6, "client_id=abc"), (7, "client_id=abc password=hunter22")]
