@@ -6,7 +6,7 @@ instead of being repeated: a weighted sum over n rows equals the plain sum over
 rows, and a home with many meters costs no more than any other.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FAN_OUT = "fan_out"
@@ -44,26 +44,42 @@ def mean(value: Column | str) -> Column:
 
 
 # Spreads and correlations in two steps. Rows of equal weight are aggregated by the built-in functions, whose partial
-# results merge without cancellation; the few results of a group (one per weight) are then combined around their common
-# mean.
+# results merge without cancellation. Each group has a few such parts, one per weight; their state (count, mean, moments)
+# is moved to the common mean of the group, after which the parts merge by plain sums.
+
+
+def _moments(values: dict[str, Column]) -> Column:
+    fields = [F.count(next(iter(values.values()))).alias("n")]
+    for name, value in values.items():
+        fields += [F.avg(value).alias(name), F.var_pop(value).alias(name * 2), F.min(value).alias(f"{name}_low"), F.max(value).alias(f"{name}_high")]
+    if len(values) == 2:
+        fields.append(F.covar_pop(*values.values()).alias("xy"))
+    return F.struct(*fields)
 
 
 def parts(df: DataFrame, keys: list, *columns: str, pairs: tuple[tuple[str, str], ...] = (), more: tuple[Column, ...] = ()) -> DataFrame:
-    """First step: moments of columns and pairs by keys and weight, and any other aggregates."""
-    moments = []
-    for c in columns:
-        moments.append(F.struct(F.count(c).alias("n"), F.avg(c).alias("x"), F.var_pop(c).alias("xx"), F.min(c).alias("x_low"), F.max(c).alias("x_high")).alias(f"_m_{c}"))
+    """First step: mergeable state of columns and pairs by keys and weight, and any other aggregates.
+
+    The state is taken around the mean of the group of `keys`, so the second step has to group by the same keys. The
+    window that finds the mean holds one row for each different weight of a group.
+    """
+    wanted = {f"_m_{c}": {"x": F.col(c)} for c in columns}
     for a, b in pairs:
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-        moments.append(
-            F.struct(
-                F.count(x).alias("n"), F.avg(x).alias("x"), F.avg(y).alias("y"),
-                F.var_pop(x).alias("xx"), F.var_pop(y).alias("yy"), F.covar_pop(x, y).alias("xy"),
-                F.min(x).alias("x_low"), F.max(x).alias("x_high"), F.min(y).alias("y_low"), F.max(y).alias("y_high"),
-            ).alias(f"_m_{a}_{b}")
-        )
-    return df.groupBy(*keys, FAN_OUT).agg(F.count(F.lit(1)).alias("_rows"), *moments, *more)
+        wanted[f"_m_{a}_{b}"] = {"x": F.when(both, F.col(a)), "y": F.when(both, F.col(b))}
+    grouped = df.groupBy(*keys, FAN_OUT).agg(F.count(F.lit(1)).alias("_rows"), *(_moments(v).alias(name) for name, v in wanted.items()), *more)
+    group = Window.partitionBy(*grouped.columns[: len(keys)])
+    return grouped.withColumns({name: _around_mean(F.col(name), list(values), group) for name, values in wanted.items()})
+
+
+def _around_mean(part: Column, names: list[str], group) -> Column:
+    """Weighted count, sums and moments of a part around the mean of its group."""
+    n = _weight() * part["n"]
+    off = {c: part[c] - F.try_divide(F.sum(n * part[c]).over(group), F.sum(n).over(group)) for c in names}
+    fields = [n.alias("n"), *((n * part[c]).alias(c) for c in names)]
+    for a, b in [(c, c) for c in names] + [("x", "y")] * (len(names) == 2):
+        fields.append((n * (part[a + b] + off[a] * off[b])).alias(a + b))
+    return F.struct(*fields, *(part[f"{c}_{end}"].alias(f"{c}_{end}") for c in names for end in ("low", "high")))
 
 
 def part_rows() -> Column:
@@ -71,51 +87,29 @@ def part_rows() -> Column:
     return F.coalesce(F.sum(F.col("_rows") * _weight()), F.lit(0).cast("bigint"))
 
 
-def _collected(name: str) -> Column:
-    return F.collect_list(F.when(F.col(f"{name}.n") > 0, F.col(name).withField("w", _weight())))
-
-
-def _sum(items: Column, value) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda acc, p: acc + value(p))
-
-
-def _field(items: Column, name: str) -> Column:
-    return F.transform(items, lambda p: p[name])
-
-
-def _count(items: Column) -> Column:
-    return _sum(items, lambda p: p["w"] * p["n"])
-
-
 def part_mean(column: str) -> Column:
     """AVG(column), second step"""
-    items = _collected(f"_m_{column}")
-    return F.try_divide(_sum(items, lambda p: p["w"] * p["n"] * p["x"]), _count(items))
+    return F.try_divide(F.sum(f"_m_{column}.x"), F.sum(f"_m_{column}.n"))
 
 
-def _around(items: Column, a: str, b: str) -> Column:
+def _moment(state: str, a: str, b: str) -> Column:
     """Sum of products of deviations from the common means; exactly 0 if one is constant."""
-    n = _count(items)
-    mean_a = F.try_divide(_sum(items, lambda p: p["w"] * p["n"] * p[a]), n)
-    mean_b = F.try_divide(_sum(items, lambda p: p["w"] * p["n"] * p[b]), n)
     constant = F.lit(False)
-    for c in {a, b}:
-        low, high = (_field(items, s) for s in (f"{c}_low", f"{c}_high"))
-        constant |= F.array_min(low) == F.array_max(high)
-    around = _sum(items, lambda p: p["w"] * p["n"] * (p[a + b] + (p[a] - mean_a) * (p[b] - mean_b)))
-    return F.when(constant, 0.0).otherwise(around)
+    for c in sorted({a, b}):
+        constant |= F.min(f"{state}.{c}_low") == F.max(f"{state}.{c}_high")
+    return F.when(constant, 0.0).otherwise(F.sum(f"{state}.{a}{b}"))
 
 
 def part_stddev(column: str) -> Column:
     """Sample standard deviation, second step"""
-    items = _collected(f"_m_{column}")
-    return F.sqrt(F.try_divide(_around(items, "x", "x"), F.when(_count(items) > 1, _count(items) - 1)))
+    n = F.sum(f"_m_{column}.n")
+    return F.sqrt(F.try_divide(_moment(f"_m_{column}", "x", "x"), F.when(n > 1, n - 1)))
 
 
 def part_corr(left: str, right: str) -> Column:
     """Pearson correlation over the rows where both values are present, second step; null if one is constant."""
-    items = _collected(f"_m_{left}_{right}")
-    return F.try_divide(_around(items, "x", "y"), F.sqrt(_around(items, "x", "x")) * F.sqrt(_around(items, "y", "y")))
+    state = f"_m_{left}_{right}"
+    return F.try_divide(_moment(state, "x", "y"), F.sqrt(_moment(state, "x", "x")) * F.sqrt(_moment(state, "y", "y")))
 
 
 def repeat(df: DataFrame, at_most: int | None = None) -> DataFrame:

@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 _SPLITS = 64
 
 
-def percentile_cont(
-    df: DataFrame, column: str, p: float, weight: Column | None = None, at_once: int = 1_000_000
-) -> float | None:
+def _sizes(values: DataFrame, bucket: Column) -> list:
+    """(bucket, first value, last value, rows, distinct values) in order; as many as there are buckets."""
+    grouped = values.groupBy(bucket.alias("b")).agg(F.min("v"), F.max("v"), F.sum("n"), F.count("v"))
+    return sorted(tuple(r) for r in grouped.collect())
+
+
+def percentile_cont(df: DataFrame, column: str, p: float, weight: Column | None = None, splits: int = _SPLITS) -> float | None:
     """Linear interpolation between the two values around rank ``p * (n - 1)``.
 
-    Values are counted first, with map-side combine, so repeated values cost one row. Each round
-    then cuts the remaining distinct values into about equal ranges and keeps the ranges that hold
-    the two ranks, until at most ``at_once`` distinct values remain. The driver sees one row of
-    at most ``_SPLITS`` numbers per round.
+    Distributed selection: values are counted first, with map-side combine, so repeated values cost one row. Each round
+    cuts the remaining distinct values into ``splits`` about equal ranges, adds up the rows before each, and goes on with
+    the ranges that hold the two ranks; once no more than ``splits`` values remain, each is a range of its own. No task
+    and not the driver sees more than one row for each range. ``splits`` is 4 at least, so that each round leaves fewer.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
     counts = (
@@ -30,38 +34,27 @@ def percentile_cont(
         if not total:
             return None
         position = p * (total - 1)
-        lower, upper = int(position), min(int(position) + 1, total - 1)
+        lower = int(position)
+        ranks = (lower, min(lower + 1, total - 1))
         rest, before = counts, 0
-        while distinct > at_once:
-            cuts = sorted(set(rest.agg(F.percentile_approx("v", [i / _SPLITS for i in range(1, _SPLITS)])).first()[0]))
-            bucket = sum((F.when(F.col("v") > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
-            sizes = {
-                r["b"]: (r["n"], r["d"])
-                for r in rest.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n"), F.count("v").alias("d")).collect()
-            }
-            kept, seen, skipped = [], before, before
-            for b in sorted(sizes):
-                first, seen = seen, seen + sizes[b][0]
-                if seen <= lower:
-                    skipped = seen
-                elif first <= upper:
-                    kept.append(b)
-            remaining = sum(sizes[b][1] for b in kept)
-            if remaining == distinct:
+        while True:
+            last_round = distinct <= splits
+            if last_round:
+                bucket = F.col("v")
+            else:
+                cuts = sorted(set(rest.agg(F.percentile_approx("v", [i / splits for i in range(1, splits)])).first()[0]))
+                bucket = sum((F.when(F.col("v") > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+            held, seen = [], before
+            for _, low, high, rows, values in _sizes(rest, bucket):
+                if any(seen <= r < seen + rows for r in ranks):
+                    held.append((low, high, seen, values, [r for r in ranks if seen <= r < seen + rows]))
+                seen += rows
+            if last_round or all(low == high for low, high, *_ in held):
                 break
             # value ranges are written as constants, so the next round is a plain filter
-            low = cuts[kept[0] - 1] if kept[0] > 0 else None
-            high = cuts[kept[-1]] if kept[-1] < len(cuts) else None
-            if low is not None:
-                rest = rest.filter(F.col("v") > low)
-            if high is not None:
-                rest = rest.filter(F.col("v") <= high)
-            before, distinct = skipped, remaining
-        # at most at_once rows: one task orders them and finds both ranks
-        ranked = rest.selectExpr("v", f"{before} + sum(n) over (order by v) as up_to")
-        low_v, high_v = ranked.agg(
-            F.min(F.when(F.col("up_to") > lower, F.col("v"))), F.min(F.when(F.col("up_to") > upper, F.col("v")))
-        ).first()
+            rest = rest.filter(F.col("v").between(held[0][0], held[-1][1]))
+            before, distinct = held[0][2], sum(h[3] for h in held)
+        low_v, high_v = held[0][0], held[-1][1]
         return low_v + (high_v - low_v) * (position - lower)
     finally:
         counts.unpersist()

@@ -72,6 +72,19 @@ def test_spreads_of_large_values(spark):
     assert got["zero"] == 0.0 and got["none"] is None
 
 
+def test_moments_of_many_groups_and_weights(spark):
+    """Thousands of parts: 1e8 and noise, in groups of 40 weights, merged by sums."""
+    x = F.lit(1e8) + F.sin(F.col("id"))
+    df = spark.range(200_000).withColumn("k", F.col("id") % 50).select("k", x.alias("x"), (F.cos(F.col("id") * 3) + x).alias("y"), (F.col("id") % 40 + 1).alias("fan_out"))
+    got = {r["k"]: r for r in W.parts(df, ["k"], "x", pairs=(("x", "y"),)).groupBy("k").agg(W.part_mean("x").alias("m"), W.part_stddev("x").alias("sd"), W.part_corr("x", "y").alias("r")).collect()}
+    rows = df.toPandas()
+    for k, part in rows.groupby("k"):
+        a, b, w = (part[c].to_numpy(np.longdouble) for c in ("x", "y", "fan_out"))
+        n, da, db = w.sum(), a - (a * w).sum() / w.sum(), b - (b * w).sum() / w.sum()
+        assert got[k]["sd"] == pytest.approx(float(np.sqrt((w * da * da).sum() / (n - 1))), rel=1e-9, abs=1e-9)
+        assert got[k]["r"] == pytest.approx(float((w * da * db).sum() / np.sqrt((w * da * da).sum() * (w * db * db).sum())), abs=1e-9)
+
+
 def test_rounding_once(spark):
     got = spark.sql("select 2.4999998D a, 0.12449999996D b, 2.5D c, -2.5D d").select(
         units.half_up(F.col("a"), 0), units.half_up(F.col("b"), 3), units.half_up(F.col("c"), 0), units.half_up(F.col("d"), 0)
@@ -92,14 +105,14 @@ def test_newest_repeats_up_to_the_limit(spark):
     assert [r["t"] for r in W.newest(df.filter("t < 3"), [F.desc("t")], 5).collect()] == [2, 1, 1]
 
 
-@pytest.mark.parametrize("at_once", [3, 50, 10**6])
+@pytest.mark.parametrize("splits", [4, 50, 64, 2000])
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.95, 1.0])
-def test_percentile_equals_numpy(spark, p, at_once):
+def test_percentile_equals_numpy(spark, p, splits):
     rng = random.Random(7)
     values = [rng.gauss(0, 1) for _ in range(900)] + [0.5] * 500 + [None]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
     want = float(np.percentile([v for v in values if v is not None], p * 100))
-    assert percentile.percentile_cont(df, "v", p, at_once=at_once) == pytest.approx(want, abs=1e-12)
+    assert percentile.percentile_cont(df, "v", p, splits=splits) == pytest.approx(want, abs=1e-12)
 
 
 def test_percentile_weights_and_empty(spark):
@@ -108,6 +121,11 @@ def test_percentile_weights_and_empty(spark):
     assert percentile.percentile_cont(df.limit(0), "v", 0.5) is None
 
 
+def test_percentile_of_many_values(spark):
+    values = F.pmod(F.col("id") * 7919, F.lit(300_007)).cast("double")
+    assert percentile.percentile_cont(spark.range(300_007).select(values.alias("v")), "v", 0.95) == pytest.approx(0.95 * 300_006)
+
+
 # --- merge
 
 KEYS = ["home_id", "timestamp"]

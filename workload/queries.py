@@ -576,7 +576,7 @@ def agg_stddev(e: Env) -> DataFrame:
 @query
 def agg_percentile(e: Env) -> DataFrame:
     """Percentile of the readings, computed in value ranges."""
-    value = percentile.percentile_cont(staging.electricity(e.readings), "kwh", 0.95, at_once=10)
+    value = percentile.percentile_cont(staging.electricity(e.readings), "kwh", 0.95, splits=8)
     return staging.electricity(e.readings).agg(F.lit(value).alias("p95_kwh"), _n())
 
 
