@@ -9,44 +9,77 @@ from hearthgrid.functions import decode, units
 READING_IDS = ["home_id", "usage_point_idx", "meter_reading_idx", "meter_id"]
 
 
-def _decoded(readings: DataFrame, commodity: str, amount: dict[str, Column], water: bool, extra=None) -> DataFrame:
-    code = F.col("quality_code")
-    return readings.filter(decode.commodity(F.col("commodity")) == commodity).select(
+#: Folders of stored readings: decoded commodity and month of the reading.
+READING_FOLDERS = ["commodity_type", "ts_month"]
+
+
+def month_folder(ts: Column) -> Column:
+    return F.year(ts) * 100 + F.month(ts)
+
+
+def decoded(readings: DataFrame) -> DataFrame:
+    """Readings of all commodities, every code decoded once; what the views below select from.
+
+    Store it by READING_FOLDERS (see `plans.store`): a view then reads the folders of its commodity alone.
+    """
+    code, kind = F.col("quality_code"), decode.commodity(F.col("commodity"))
+    water = decode.unit(F.col("uom"), True)
+    return readings.select(
         *READING_IDS,
         F.col("timestamp").alias("ts"),
         "duration_seconds",
-        *[value.alias(name) for name, value in amount.items()],
+        "kwh",
         "raw_value",
         F.col("cost").alias("cost_cents"),
         decode.quality(code).alias("quality"),
         decode.is_estimated(code).alias("estimated"),
-        *(extra or []),
-        F.lit(commodity).alias("commodity_type"),
-        decode.unit(F.col("uom"), water).alias("unit"),
+        decode.tou_period(F.col("tou_bucket")).alias("tou_period"),
+        F.col("tou_bucket").alias("tou_bucket_raw"),
+        F.when(kind == "water", water).otherwise(decode.unit(F.col("uom"), False)).alias("unit"),
         "service_kind",
         code.alias("quality_code_raw"),
         F.col("commodity").alias("commodity_raw"),
         F.col("uom").alias("uom_raw"),
+        kind.alias("commodity_type"),
+        month_folder(F.col("timestamp")).alias("ts_month"),
+    )
+
+
+def _of(readings: DataFrame, commodity: str, amount: dict[str, Column], extra: tuple[str, ...] = ()) -> DataFrame:
+    """One commodity of decoded readings; raw ones are decoded first."""
+    every = readings if "commodity_type" in readings.columns else decoded(readings)
+    return every.filter(F.col("commodity_type") == commodity).select(
+        *READING_IDS,
+        "ts",
+        "duration_seconds",
+        *[value.alias(name) for name, value in amount.items()],
+        "raw_value",
+        "cost_cents",
+        "quality",
+        "estimated",
+        *extra,
+        "commodity_type",
+        "unit",
+        "service_kind",
+        "quality_code_raw",
+        "commodity_raw",
+        "uom_raw",
     )
 
 
 def electricity(readings: DataFrame) -> DataFrame:
     """Electricity readings; the raw amount is in Wh."""
-    tou = [
-        decode.tou_period(F.col("tou_bucket")).alias("tou_period"),
-        F.col("tou_bucket").alias("tou_bucket_raw"),
-    ]
-    return _decoded(readings, "electricity", {"kwh": units.wh_to_kwh(F.col("kwh"))}, False, tou)
+    return _of(readings, "electricity", {"kwh": units.wh_to_kwh(F.col("kwh"))}, ("tou_period", "tou_bucket_raw"))
 
 
 def gas(readings: DataFrame) -> DataFrame:
     """Gas readings; the raw amount is in cubic metres."""
-    return _decoded(readings, "natural_gas", {"m3": F.col("kwh")}, False)
+    return _of(readings, "natural_gas", {"m3": F.col("kwh")})
 
 
 def water(readings: DataFrame) -> DataFrame:
     """Water readings; the raw amount is in cubic metres or gallons."""
-    return _decoded(readings, "water", {"volume": F.col("kwh")}, True)
+    return _of(readings, "water", {"volume": F.col("kwh")})
 
 
 def power_validated(power: DataFrame) -> DataFrame:

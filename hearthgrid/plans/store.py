@@ -3,12 +3,14 @@
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from hearthgrid import schemas
 from hearthgrid.plans import marts as plans
+from hearthgrid.plans import staging
 from hearthgrid.plans.marts import Marts
 from hearthgrid.session import exists
+from hearthgrid.sinks.tables import write_partitioned
 
 # tables that can be built side by side, step after step
 STEPS = [
@@ -17,10 +19,21 @@ STEPS = [
     ["electricity_facts", "gas_facts", "water_facts"],
     ["carbon_facts", "weather_facts", "hourly_weather"],
 ]
+READINGS = "readings"
 RAW = ["weather", "air_quality"]  # small hourly series that some reports read themselves
 TABLES = [name for step in STEPS for name in step]
 
 
+def stage(readings: DataFrame, path: str) -> DataFrame:
+    """Decode all readings in one pass into folders by commodity and month, and read them back.
+
+    A commodity and a range of months are folders then: what filters name is listed and nothing else is scanned.
+    """
+    every = staging.decoded(readings)
+    write_partitioned(every, path, staging.READING_FOLDERS)
+    return readings.sparkSession.read.schema(every.schema).parquet(path)
+
+
 def save(marts: Marts, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Write all tables; each is built from the stored ones of the steps before it.
 
@@ -29,7 +42,7 @@ def save(marts: Marts, path: str, partition_by: tuple[str, ...] = ()) -> None:
     laid out in folders and filters on those columns skip the rest.
     """
     spark = marts.readings.sparkSession
-    stored = replace(marts)
+    stored = replace(marts, readings=stage(marts.readings, f"{path}/{READINGS}"))
 
     def write(name: str) -> None:
         df = getattr(stored, name)
@@ -54,13 +67,16 @@ def save(marts: Marts, path: str, partition_by: tuple[str, ...] = ()) -> None:
 
 
 def load(spark: SparkSession, path: str) -> Marts:
-    """Marts over stored tables. Of the raw tables, weather and air quality are given too where the store has them.
+    """Marts over stored tables, decoded readings among them. Of the raw tables, weather and air quality are given
+    too where the store has them.
 
     The tables with ``meter_id_hash`` are joined from facts and homes by the dimension key they were saved with.
     """
     dim_key = spark.read.parquet(f"{path}/settings").first()["dim_key"]
     raw = {name: spark.read.parquet(f"{path}/{name}") for name in RAW if exists(spark, f"{path}/{name}")}
-    loaded = Marts(schemas.empty(spark, "green_button_interval_readings"), dim_key=dim_key, **raw)
+    none = staging.decoded(schemas.empty(spark, "green_button_interval_readings"))
+    readings = spark.read.schema(none.schema).parquet(f"{path}/{READINGS}") if exists(spark, f"{path}/{READINGS}") else none
+    loaded = Marts(readings, dim_key=dim_key, **raw)
     for name in TABLES:
         if name != "power_hourly":
             loaded.__dict__[name] = spark.read.parquet(f"{path}/{name}")

@@ -202,6 +202,33 @@ RELATIONS = {
         select *, null::double as avg_outdoor_temp_c, null::double as heating_degree_days,
                null::double as rate_cents_per_m3, {PARTS}
         from ({_metered('stg_gas', 's.m3')})""",
+    "own_electricity": f"""
+        select 'green_button' as source, home_id, md5(meter_id) as meter_id_hash, usage_point_idx::varchar as device_id,
+               ts as timestamp, kwh, cost_cents as cost, quality, estimated, tou_period,
+               null::double as co2_g_per_kwh, null::double as rate_cents_per_kwh, {HOUR_PARTS}
+        from stg_electricity
+        union all
+        select 'power_monitoring', home_id, null, device_id || '_ch' || channel, timestamp, kwh, null, quality, estimated,
+               null, null, null, {HOUR_PARTS}
+        from power_hourly""",
+    "own_gas": f"""
+        select *, null::double as avg_outdoor_temp_c, null::double as heating_degree_days,
+               null::double as rate_cents_per_m3, {PARTS}
+        from (select 'green_button' as source, home_id, md5(meter_id) as meter_id_hash, usage_point_idx as device_id,
+                     ts as timestamp, m3, cost_cents as cost, quality, estimated from stg_gas)""",
+    "own_water": f"""
+        select *, null::double as rate_cents_per_m3, null::double as rate_cents_per_gal, {PARTS},
+               m3 * 264.172 as gallons, m3 * 1000 as liters
+        from (select 'green_button' as source, home_id, md5(meter_id) as meter_id_hash, usage_point_idx as device_id,
+                     ts as timestamp, case unit when 'gal' then volume / 264.172 else volume end as m3,
+                     volume as raw_volume, unit as raw_unit, cost_cents as cost, quality, estimated from stg_water)""",
+    "own_utility": """
+        select home_id, timestamp, 'electricity' as commodity, kwh as quantity, 'kWh' as unit, cost, estimated, year, month
+        from own_electricity where source = 'green_button'
+        union all
+        select home_id, timestamp, 'natural_gas', m3, 'm³', cost, estimated, year, month from own_gas
+        union all
+        select home_id, timestamp, 'water', m3, 'm³', cost, estimated, year, month from own_water""",
     "fct_water": f"""
         select *, null::double as rate_cents_per_m3, null::double as rate_cents_per_gal, {PARTS},
                m3 * 264.172 as gallons, m3 * 1000 as liters

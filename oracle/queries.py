@@ -60,6 +60,12 @@ def carbon(select, tail=""):
 READ_COLUMNS = (
     "timestamp, duration_seconds, kwh, raw_value, cost, quality_code, tou_bucket, commodity, uom, meter_id"
 )
+#: Readings with the places of their usage point and meter reading in the feed of their home, by month and meter.
+FEED = """
+    (select *, (dense_rank() over (partition by home_id order by date_trunc('month', timestamp), meter_id) - 1)::int as point,
+            (dense_rank() over (partition by home_id, date_trunc('month', timestamp), meter_id order by meter_reading_idx) - 1)::int
+                as place
+     from readings)"""
 READING_KEY = C.READING_KEY
 READING_REST = [
     "duration_seconds", "kwh", "raw_value", "cost", "quality_code", "tou_bucket", "commodity", "uom",
@@ -97,9 +103,13 @@ EXPORT_KEYS = {
 }
 
 
-def exported(relation, name):
-    keys = ", ".join(EXPORT_KEYS[name])
-    return f"select '{name}' as table_name, count(*) as n from (select distinct {keys} from {relation})"
+def exported(relation, name, amount, rest):
+    """Rows, costs and amounts of a table by home, of which the greatest row of a key is kept."""
+    last_hash = "max(meter_id_hash)" if "meter_id_hash" in EXPORT_KEYS[name] else "null::varchar"
+    return f"""
+        select home_id, '{name}' as table_name, count(*) as n, sum(cost) as cost, count(distinct timestamp) as times,
+               max({amount}) as largest, {last_hash} as last_hash
+        from ({latest(relation, EXPORT_KEYS[name], rest)}) group by 1"""
 
 
 def stage(relation, name):
@@ -365,7 +375,7 @@ SQL = {
                     else 'Evening' end as time_of_day
         from {E} where kwh >= (select percentile_cont(0.95) within group (order by kwh) from {E})
         order by kwh desc, home_id, timestamp, tou_period nulls last limit 20""",
-    "d_partition_daily": f"select {DATE} as date, sum(kwh) as daily_kwh from {E} group by 1",
+    "d_partition_daily": f"select {DATE} as date, sum(kwh) as daily_kwh from own_electricity group by 1",
     "d_heat_pump_cop": heat("n"),
     "d_solar_load_shape": f"""
         select hour, month, avg(kwh) as avg_kwh, min(kwh) as min_kwh, max(kwh) as max_kwh, stddev(kwh) as stddev_kwh
@@ -437,10 +447,10 @@ SQL = {
         from {W} where {POOR} group by date, pm2_5_category
         order by avg_pm2_5 desc, date, pm2_5_category limit 20""",
     # --- sources
-    "src_espi_xml": f"select 'co-op' as home_id, {READ_COLUMNS} from readings",
-    "src_espi_many": """
-        select commodity, uom, meter_id, count(*) as n, sum(kwh) as kwh, count(*) as with_home
-        from readings group by 1, 2, 3""",
+    "src_espi_xml": f"select 'co-op' as home_id, point as usage_point_idx, place as meter_reading_idx, {READ_COLUMNS} from {FEED}",
+    "src_espi_many": f"""
+        select home_id, commodity, uom, meter_id, count(*) as n, sum(kwh) as kwh, max(point)::bigint as last_point
+        from {FEED} group by 1, 2, 3, 4""",
     "src_meter_csv_wide": f"""
         select 'co-op' as home_id, 0 as usage_point_idx, 0 as meter_reading_idx,
                local + interval 5 hours as timestamp, 3600 as duration_seconds, kwh, kwh::bigint as raw_value,
@@ -464,7 +474,7 @@ SQL = {
         select 'xml-home' as home_id, count(*) as n, sum(kwh) as kwh from readings
         union all select 'csv-home', count(*), sum(kwh) from {WIDE}""",
     "src_partitioned_lake": """
-        select device_id, timestamp, kwh, meter_id_hash from fct_electricity
+        select device_id, timestamp, kwh, meter_id_hash from own_electricity
         where home_id = 'home-1' and year(timestamp) = 1998""",
     "src_empty_typed": "select 'green_button' as source, count(*) as n, sum(kwh) as kwh from stg_electricity",
     "src_weather_range": """
@@ -472,7 +482,7 @@ SQL = {
         from readings where home_id = 'home-1' and commodity = 'CommodityKindValue.VALUE_1'""",
     # --- sinks
     "sink_keyed_table": latest(
-        "fct_gas",
+        "own_gas",
         ["home_id", "device_id", "meter_id_hash", "timestamp"],
         ["source", "m3", "cost", "quality", "estimated"],
     ),
@@ -482,13 +492,19 @@ SQL = {
         ["source", "meter_id_hash", "device_id", "m3", "cost", "quality", "estimated"],
     ),
     "sink_export_many": " union all ".join(
-        exported(f"fct_{name}", f"fct_{name}_consumption") for name in ("electricity", "gas", "water", "utility")
+        exported(f"own_{name}", f"fct_{name}_consumption", amount, rest)
+        for name, amount, rest in [
+            ("electricity", "kwh", ["kwh", "cost", "quality", "estimated", "tou_period"]),
+            ("gas", "m3", ["source", "m3", "cost", "quality", "estimated"]),
+            ("water", "m3", ["source", "m3", "raw_volume", "raw_unit", "cost", "quality", "estimated"]),
+            ("utility", "quantity", ["quantity", "unit", "cost", "estimated"]),
+        ]
     ),
     "sink_partitioned": "select * from power",
-    "sink_csv": "select * from fct_water where home_id = 'home-1'",
+    "sink_csv": "select * from own_water where home_id = 'home-1'",
     "sink_view_over_lake": """
-        select 'gas' as view_name, count(*) as n, sum(cost) as cost from fct_gas
-        union all select 'water', count(*), sum(cost) from fct_water""",
+        select 'gas' as view_name, count(*) as n, sum(cost) as cost from own_gas
+        union all select 'water', count(*), sum(cost) from own_water""",
     "sink_arrow_types": """
         select event_id, value::float::double as value, (event_id % 100)::tinyint as small,
                '{"event_id":' || event_id || ',"user_id":' || user_id || '}' as ids,
@@ -715,7 +731,7 @@ ROUNDED = {
     "d_monthly_by_home": {"monthly_kwh": 4, "avg_hourly_kwh": 6},
     "d_quality_check": {"total_kwh": 4},
     "d_peak_hours": {"kwh": 6},
-    "d_partition_daily": {"daily_kwh": 4},
+    "d_partition_daily": {"daily_kwh": 5},
     "d_heat_pump_cop": {"hvac_kwh": 4, "estimated_cop": 8},
     "join_date_left": {"hvac_kwh": 4, "estimated_cop": 8},
     "d_solar_load_shape": {"avg_kwh": 6, "min_kwh": 6, "max_kwh": 6, "stddev_kwh": 6},

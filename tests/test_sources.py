@@ -93,6 +93,25 @@ def test_espi_many_files_by_home(spark, feed, rows):
     assert rows(df.filter("home_id = 'h2'"), "usage_point_idx", "kwh") == [(0, 3.0)]
 
 
+def test_one_large_feed_is_read_by_many_tasks(spark, tmp_path, rows):
+    """A feed of a thousand entries in ranges of 16 KB: the same rows and places as in one range, in the file's order."""
+    meters = [m for i in range(60) for m in meter(f"9{i:02}", 1, 72, 0, [[reading(1700000000 + 3600 * k, 100 * i + k) for k in range(20)], [reading(1700000000, i)]])]
+    path = tmp_path / "large.xml"
+    path.write_text(FEED.format(entries="\n".join(meters)))
+    whole = rows(espi_xml.read(spark, str(path), "h"))
+    limit = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, 16_384)
+    try:
+        assert espi_xml.entries(spark, str(path)).rdd.getNumPartitions() > 10
+        split = espi_xml.read(spark, str(path), "h")
+        assert rows(split) == whole and len(whole) == 60 * 21
+        places = {(r["meter_id"], r["usage_point_idx"]) for r in split.collect()}
+        assert places == {(f"9{i:02}", i) for i in range(60)}
+    finally:
+        spark.conf.set(limit, before)
+
+
 def wide_file(tmp_path, lines, name="SmartMeter8493_2026-07-22.csv"):
     header = ["Reading Date", *[f"{i} am kWh Usage" for i in range(1, 12)], "12 pm kWh Usage",
               *[f"{i} pm kWh Usage" for i in range(1, 12)], "12 pm kWh Usage"]

@@ -1,6 +1,7 @@
 """Inputs of the registered queries, derived from the test tables by Spark."""
 
 import uuid
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from hearthgrid import constants as C
 from hearthgrid import session
 from hearthgrid.functions import units
+from hearthgrid.plans import store
 from hearthgrid.plans.marts import Marts
 from hearthgrid.sinks import tables
 from hearthgrid.sources import star_schema
@@ -51,19 +53,32 @@ class Env:
     def table(self, name: str) -> DataFrame:
         return star_schema.table(self.spark, self.sf_dir, name)
 
+    @cached_property
+    def _raw(self) -> Marts:
+        return star_schema.marts(self.spark, self.sf_dir, self.folder("hours"))
+
     @cached_property
     def marts(self) -> Marts:
-        """Marts whose small dimension tables are written once per session."""
-        folder = self.folder("dims")
-        return star_schema.marts(self.spark, self.sf_dir, folder).settle(folder)
+        """Marts over the decoded readings, whose small dimension tables are written once per session."""
+        return replace(self._raw, readings=self.staged).settle(self.folder("dims"))
+
+    @cached_property
+    def own_marts(self) -> Marts:
+        """The same with facts joined to their own meter, as tables for users are."""
+        return replace(self._raw, readings=self.staged, dim_key="home_meter").settle(self.folder("dims"))
+
+    @cached_property
+    def staged(self) -> DataFrame:
+        """Readings decoded once, in folders by commodity and month."""
+        return store.stage(self.readings, self.folder("readings"))
 
     @property
     def readings(self) -> DataFrame:
-        return self.marts.readings
+        return self._raw.readings
 
     @property
     def power(self) -> DataFrame:
-        return self.marts.power
+        return self._raw.power
 
     @cached_property
     def keyed_readings(self) -> DataFrame:
@@ -74,7 +89,7 @@ class Env:
 
     @cached_property
     def feeds(self) -> str:
-        """Meter feeds in XML: usage points, meter readings and reading types of a month, one
+        """Meter feeds in XML, one file for each home: usage points, meter readings and reading types of a month, one
         interval block per reading."""
         path = self.folder("espi")
         month = F.trunc("timestamp", "month")
@@ -91,7 +106,7 @@ class Env:
         def links(**rels):
             return F.array(*[F.struct(F.lit(r).alias("_rel"), href.alias("_href")) for r, href in rels.items()])
 
-        def entry(df, link, **content):
+        def entry(df, rank, link, **content):
             kinds = {
                 "UsagePoint": "struct<ServiceCategory: struct<kind: int>>",
                 "MeterReading": "string",
@@ -100,10 +115,11 @@ class Env:
                 " timePeriod: struct<duration: int, start: bigint>, value: bigint, tou: int>>",
             }
             parts = [content.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()]
-            return df.select("slice", "meter_id", link.alias("link"), F.struct(*parts).alias("content"))
+            order = F.struct(F.lit(rank).alias("kind"), (F.col("meter_reading_idx") if rank else F.lit(0)).alias("place")).alias("rank")
+            return df.select("home_id", "slice", "meter_id", order, link.alias("link"), F.struct(*parts).alias("content"))
 
-        meters = base.select("slice", "meter_id", "meter_reading_idx", "meter", "commodity", "uom").distinct()
-        points = base.select("slice", "meter_id").distinct()
+        meters = base.select("home_id", "slice", "meter_id", "meter_reading_idx", "meter", "commodity", "uom").distinct()
+        points = base.select("home_id", "slice", "meter_id").distinct()
         collection = F.concat(point, F.lit("/MeterReading"))
         blocks = F.concat("meter", F.lit("/IntervalBlock"))
         quality = F.lit(14)
@@ -112,12 +128,14 @@ class Env:
         everything = (
             entry(
                 points,
+                0,
                 links(self=point, related=collection),
                 UsagePoint=F.struct(F.struct(F.lit(0).alias("kind")).alias("ServiceCategory")),
             )
             .unionByName(
                 entry(
                     meters,
+                    1,
                     F.concat(
                         links(self=F.col("meter"), up=collection, related=blocks), links(related=type_link)
                     ),
@@ -127,6 +145,7 @@ class Env:
             .unionByName(
                 entry(
                     meters,
+                    2,
                     links(self=type_link),
                     ReadingType=F.struct(
                         code.alias("commodity"), F.lit(0).alias("powerOfTenMultiplier"), unit.alias("uom")
@@ -136,6 +155,7 @@ class Env:
             .unionByName(
                 entry(
                     base,
+                    3,
                     links(self=F.concat(blocks, F.lit("/"), F.unix_seconds(F.col("timestamp").cast("timestamp")).cast("string")), up=blocks),
                     IntervalBlock=F.struct(
                         F.struct(
@@ -152,11 +172,13 @@ class Env:
                 )
             )
         )
-        # a feed holds all entries of a meter and month
+        # a feed holds all entries of a home, by month and meter
         (
-            everything.repartition("slice", "meter_id")
-            .select("link", "content")
-            .write.format("xml")
+            everything.repartition("home_id")
+            .sortWithinPartitions("home_id", "slice", "meter_id", "rank")
+            .select("home_id", "link", "content")
+            .write.partitionBy("home_id")
+            .format("xml")
             .option("rootTag", "feed")
             .option("rowTag", "entry")
             .save(path)
@@ -165,9 +187,9 @@ class Env:
 
     @cached_property
     def lake(self) -> str:
-        """The electricity mart in Hive layout."""
+        """The electricity mart in Hive layout, each reading with its own meter."""
         path = self.folder("lake")
-        bucketed = tables.with_home_bucket(self.marts.fct_electricity, self.LAKE_BUCKETS)
+        bucketed = tables.with_home_bucket(self.own_marts.fct_electricity, self.LAKE_BUCKETS)
         tables.write_partitioned(bucketed, path, ["home_bucket", "year", "month"])
         return path
 

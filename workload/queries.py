@@ -108,16 +108,17 @@ def d_soiling_risk(e: Env) -> DataFrame:
 
 @query
 def src_espi_xml(e: Env) -> DataFrame:
-    return espi_xml.read(e.spark, e.feeds, "co-op").drop("usage_point_idx", "meter_reading_idx", "service_kind")
+    return espi_xml.read(e.spark, e.feeds, "co-op").drop("service_kind")
 
 
 @query
 def src_espi_many(e: Env) -> DataFrame:
+    """Feeds of all homes, each with the home that its folder names."""
     listed = e.spark.read.format("binaryFile").load(e.feeds).select(file_key(F.col("path")).alias("file_path"))
-    homes = listed.withColumn("home_id", F.concat(F.lit("home of "), "file_path"))
+    homes = listed.withColumn("home_id", F.regexp_extract("file_path", "/home_id=([^/]+)/", 1))
     read = espi_xml.read(e.spark, e.feeds, homes)
-    return read.groupBy("commodity", "uom", "meter_id").agg(
-        _n(), F.sum("kwh").alias("kwh"), F.count_if(F.col("home_id").like("home of %/part-%")).alias("with_home")
+    return read.groupBy("home_id", "commodity", "uom", "meter_id").agg(
+        _n(), F.sum("kwh").alias("kwh"), F.max("usage_point_idx").cast("bigint").alias("last_point")
     )
 
 
@@ -210,7 +211,7 @@ def src_partitioned_lake(e: Env) -> DataFrame:
 @query
 def src_empty_typed(e: Env) -> DataFrame:
     nothing = staging.power_hourly(schemas.empty(e.spark, "power_monitoring"))
-    return marts.electricity_sources(e.readings, nothing).groupBy("source").agg(_n(), F.sum("kwh").alias("kwh"))
+    return marts.electricity_sources(e.staged, nothing).groupBy("source").agg(_n(), F.sum("kwh").alias("kwh"))
 
 
 @query
@@ -225,7 +226,7 @@ def src_weather_range(e: Env) -> DataFrame:
 def sink_keyed_table(e: Env) -> DataFrame:
     path = e.folder("export")
     name = "fct_gas_consumption"
-    tables.export_keyed(e.marts.fct_gas, path, name, schemas.EXPORT_KEYS[name])
+    tables.export_keyed(e.own_marts.fct_gas, path, name, schemas.EXPORT_KEYS[name])
     return e.spark.read.parquet(f"{path}/{name}")
 
 
@@ -240,16 +241,23 @@ def sink_keyed_table_parity(e: Env) -> DataFrame:
 
 @query
 def sink_export_many(e: Env) -> DataFrame:
-    m = e.marts
+    """All exported tables at their grain, each reading with its own meter; rows, keys and amounts as they are read back."""
+    m = e.own_marts
     sources = [m.fct_electricity, m.fct_gas, m.fct_water]
     exports = [(df, name, keys) for df, (name, keys) in zip(sources, schemas.EXPORT_KEYS.items())]
     exports.append((m.fct_utility, "fct_utility_consumption", schemas.PARITY_EXPORT_KEYS["fct_utility_consumption"]))
     path = e.folder("export")
     stats = tables.export_all(exports, path)
-    written = [
-        e.spark.read.parquet(f"{path}/{t['table']}").agg(F.lit(t["table"]).alias("table_name"), _n())
-        for t in stats["tables"]
-    ]
+    written = []
+    for t in stats["tables"]:
+        table = e.spark.read.parquet(f"{path}/{t['table']}")
+        amount = next(c for c in ("kwh", "m3", "quantity") if c in table.columns)
+        written.append(
+            table.groupBy("home_id").agg(
+                F.lit(t["table"]).alias("table_name"), _n(), F.sum("cost").alias("cost"), F.count_distinct("timestamp").alias("times"),
+                F.max(amount).alias("largest"), (F.max("meter_id_hash") if "meter_id_hash" in table.columns else F.lit(None).cast("string")).alias("last_hash"),
+            )
+        )
     out = written[0]
     for df in written[1:]:
         out = out.unionByName(df)
@@ -258,15 +266,19 @@ def sink_export_many(e: Env) -> DataFrame:
 
 @query
 def sink_partitioned(e: Env) -> DataFrame:
+    """Power in folders by bucket of homes and day, whose number does not grow with the homes; one bucket's folders and
+    all others are read back."""
     path = e.folder("partitioned")
-    tables.write_partitioned(e.power, path, ["home_id", "device_id"])
-    return files.read_lake(e.spark, path)
+    daily = tables.with_home_bucket(e.power.withColumn("day", F.to_date("timestamp")), e.LAKE_BUCKETS)
+    tables.write_partitioned(daily, path, ["home_bucket", "day"])
+    one = files.read_lake(e.spark, path, "home-1", e.LAKE_BUCKETS)
+    return one.unionByName(files.read_lake(e.spark, path).filter(F.col("home_id") != "home-1")).drop("home_bucket", "day")
 
 
 @query
 def sink_csv(e: Env) -> DataFrame:
     path = e.folder("csv")
-    table = e.marts.fct_water.filter(F.col("home_id") == "home-1")
+    table = e.own_marts.fct_water.filter(F.col("home_id") == "home-1")
     tables.write_csv(table, path)
     return e.spark.read.schema(table.schema).option("header", True).csv(path)
 
@@ -274,8 +286,8 @@ def sink_csv(e: Env) -> DataFrame:
 @query
 def sink_view_over_lake(e: Env) -> DataFrame:
     path = e.folder("views")
-    e.marts.fct_gas.write.parquet(f"{path}/fct_gas_consumption")
-    e.marts.fct_water.write.parquet(f"{path}/fct_water_consumption")
+    e.own_marts.fct_gas.write.parquet(f"{path}/fct_gas_consumption")
+    e.own_marts.fct_water.write.parquet(f"{path}/fct_water_consumption")
     tables.create_views(e.spark, path, ["fct_gas_consumption", "fct_water_consumption"])
     return e.spark.sql(
         """
@@ -396,17 +408,17 @@ def decode_commodity_inspect(e: Env) -> DataFrame:
 
 @query
 def stg_electricity(e: Env) -> DataFrame:
-    return staging.electricity(e.readings)
+    return staging.electricity(e.staged)
 
 
 @query
 def stg_gas(e: Env) -> DataFrame:
-    return staging.gas(e.readings)
+    return staging.gas(e.staged)
 
 
 @query
 def stg_water(e: Env) -> DataFrame:
-    return staging.water(e.readings)
+    return staging.water(e.staged)
 
 
 @query
@@ -426,7 +438,7 @@ def stg_air_quality(e: Env) -> DataFrame:
 
 @query
 def dim_homes(e: Env) -> DataFrame:
-    return staging.homes(e.readings).drop("created_at")
+    return staging.homes(e.staged).drop("created_at")
 
 
 @query
@@ -471,15 +483,15 @@ def anonymize(e: Env) -> DataFrame:
 
 @query
 def join_dim_left(e: Env) -> DataFrame:
-    homes = staging.homes(e.readings)
-    joined = marts.with_meter_hash(marts.gas_sources(e.readings), homes)
+    homes = staging.homes(e.staged)
+    joined = marts.with_meter_hash(marts.gas_sources(e.staged), homes)
     return joined.select("home_id", "device_id", "timestamp", "m3", "meter_id_hash")
 
 
 @query
 def join_dim_left_own_meter(e: Env) -> DataFrame:
-    homes = staging.homes(e.readings)
-    joined = marts.with_meter_hash(marts.gas_sources(e.readings), homes, "home_meter")
+    homes = staging.homes(e.staged)
+    joined = marts.with_meter_hash(marts.gas_sources(e.staged), homes, "home_meter")
     return joined.select("home_id", "device_id", "timestamp", "m3", "meter_id_hash")
 
 
@@ -506,15 +518,15 @@ def join_month_subquery(e: Env) -> DataFrame:
 
 @query
 def join_anti(e: Env) -> DataFrame:
-    gas = staging.gas(e.readings).select("home_id", "ts").distinct()
-    return staging.electricity(e.readings).join(gas, ["home_id", "ts"], "left_anti").select("home_id", "ts", "kwh")
+    gas = staging.gas(e.staged).select("home_id", "ts").distinct()
+    return staging.electricity(e.staged).join(gas, ["home_id", "ts"], "left_anti").select("home_id", "ts", "kwh")
 
 
 @query
 def join_cross_rates(e: Env) -> DataFrame:
     rates = usage.rate_table(e.spark)  # three rows
     return (
-        staging.electricity(e.readings)
+        staging.electricity(e.staged)
         .join(F.broadcast(rates), "tou_period", "left")
         .groupBy("tou_period")
         .agg(_n(), F.sum(F.col("kwh") * F.col("rate_per_kwh")).alias("tou_cost"))
@@ -576,8 +588,8 @@ def agg_stddev(e: Env) -> DataFrame:
 @query
 def agg_percentile(e: Env) -> DataFrame:
     """Percentile of the readings, computed in value ranges."""
-    value = percentile.percentile_cont(staging.electricity(e.readings), "kwh", 0.95, splits=8)
-    return staging.electricity(e.readings).agg(F.lit(value).alias("p95_kwh"), _n())
+    value = percentile.percentile_cont(staging.electricity(e.staged), "kwh", 0.95, splits=8)
+    return staging.electricity(e.staged).agg(F.lit(value).alias("p95_kwh"), _n())
 
 
 @query
@@ -619,7 +631,7 @@ def agg_global(e: Env) -> DataFrame:
 
 @query
 def win_share_of_total(e: Env) -> DataFrame:
-    counts = staging.electricity(e.readings).groupBy("quality").agg(_n())
+    counts = staging.electricity(e.staged).groupBy("quality").agg(_n())
     return counts.selectExpr("quality", "n", "100.0D * n / sum(n) over () as pct")
 
 
@@ -640,7 +652,7 @@ def topk_group(e: Env) -> DataFrame:
 def sort_custom_rank(e: Env) -> DataFrame:
     rank = decode.rank_of(F.col("quality"), [name for _, name in C.QUALITY_CODES])
     return (
-        staging.electricity(e.readings).groupBy("quality").agg(_n()).withColumn("rank", rank.cast("bigint")).orderBy("rank")
+        staging.electricity(e.staged).groupBy("quality").agg(_n()).withColumn("rank", rank.cast("bigint")).orderBy("rank")
     )
 
 
@@ -651,7 +663,7 @@ def topk_per_branch_union(e: Env) -> DataFrame:
 
 @query
 def union_sources(e: Env) -> DataFrame:
-    return marts.electricity_sources(e.readings, e.marts.power_hourly).drop("meter_id")
+    return marts.electricity_sources(e.staged, e.marts.power_hourly).drop("meter_id")
 
 
 @query
@@ -686,7 +698,7 @@ def convert_units(e: Env) -> DataFrame:
 
 @query
 def gas_to_thermal_kwh(e: Env) -> DataFrame:
-    return staging.gas(e.readings).select(
+    return staging.gas(e.staged).select(
         "meter_id", "ts", units.gas_to_thermal_kwh(F.col("m3")).alias("thermal_kwh")
     )
 
