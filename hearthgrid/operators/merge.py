@@ -31,9 +31,14 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], ties: list[str]
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str], blank: list[str] = ()) -> DataFrame:
-    """Target plus the batch rows whose key it does not hold; ``blank`` columns arrive as null."""
+    """Target plus the batch rows whose key it does not hold; ``blank`` columns arrive as null.
+
+    The target's keys are reduced to those of the batch first: where the planner finds the batch small enough to send
+    its keys to all tasks, the target is scanned in place and only the few keys that meet are shuffled.
+    """
     nulls = {c: F.lit(None).cast(batch.schema[c].dataType) for c in blank}
-    fresh = batch.join(target.select(*keys).distinct(), keys, "left_anti").select(*batch.columns)
+    met = target.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
+    fresh = batch.join(met.distinct(), keys, "left_anti").select(*batch.columns)
     return target.unionByName(fresh.withColumns(nulls) if nulls else fresh)
 
 

@@ -97,3 +97,12 @@ def file_length(spark: SparkSession, path: str) -> int | None:
 
 def exists(spark: SparkSession, path: str) -> bool:
     return file_length(spark, path) is not None
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path, by one listing; none if there is no such path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())

@@ -1,5 +1,6 @@
-"""Writing tables: keyed, partitioned, CSV, views, a retention filter."""
+"""Writing tables: keyed, partitioned, CSV, views, retention."""
 
+import datetime as dt
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthgrid.operators.merge import latest_per_key
+from hearthgrid.session import folders, remove
 from hearthgrid.sources.files import home_bucket
 
 _PLAIN = (
@@ -110,3 +112,39 @@ def within_retention(df: DataFrame, days: int, time_column: str = "timestamp") -
         return df
     limit = F.lit(newest).cast("timestamp_ntz") - F.expr(f"interval {int(days)} days")
     return df.filter(F.col(time_column) >= limit)
+
+
+def expire(spark: SparkSession, path: str, days: int, schema, time_column: str = "timestamp", partition: str = "day") -> dict:
+    """Remove what is older than ``days`` days before the newest row from a table in folders by day.
+
+    Folders are listed, not scanned: those whose whole day has expired are deleted, and only the folder of the day that
+    the limit falls into is read and written again. The newest row is looked for in the newest folder alone. ``schema``
+    is that of the rows, without the folder column. Doing it again changes nothing; a failure leaves a table from which
+    some expired rows are gone, which the next run completes.
+    """
+    found = {}
+    for name in folders(spark, path):
+        key, _, value = name.partition("=")
+        if key == partition and not value.startswith("__"):
+            found[dt.date.fromisoformat(value)] = f"{path}/{name}"
+    done = {"removed": 0, "rewritten": 0}
+    if not found:
+        return done
+    read = lambda day: spark.read.schema(schema).parquet(found[day])
+    newest = read(max(found)).agg(F.max(time_column)).first()[0]
+    if newest is None:
+        return done
+    limit = newest - dt.timedelta(days=days)
+    for day in sorted(d for d in found if d < limit.date()):
+        remove(spark, found.pop(day))
+        done["removed"] += 1
+    if limit.date() in found:
+        edge = limit.date()
+        old = F.col(time_column) < F.lit(limit).cast("timestamp_ntz")
+        if not read(edge).filter(old).isEmpty():
+            staging = f"{path}/_expiring"
+            read(edge).filter(~old).write.mode("overwrite").parquet(staging)
+            spark.read.schema(schema).parquet(staging).write.mode("overwrite").parquet(found[edge])
+            remove(spark, staging)
+            done["rewritten"] += 1
+    return done

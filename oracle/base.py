@@ -70,6 +70,10 @@ def _metered(staging, amount, extra=""):
     )
 
 
+#: Number of the batch that brings an event.
+_ARRIVAL = """greatest(0, least(5, floor(date_diff('day', date '2024-01-01', timestamp::date) / 5)::int))
+                   + case when event_id % 17 = 0 then 2 else 0 end"""
+
 RELATIONS = {
     # --- raw tables
     "keyed_readings": """
@@ -96,6 +100,32 @@ RELATIONS = {
                1.0::double as amps, 0.875::double as power_factor, event_id
         from events""",
     "power": "select * exclude (event_id) from keyed_power",
+    "deliveries": f"""
+        select *, {_ARRIVAL} as batch from keyed_power
+        union all select *, {_ARRIVAL} + 1 as batch from corrected_power where event_id % 13 = 0""",
+    "marked": """
+        select d.*, date_trunc('hour', timestamp) + interval 1 hour <= m.latest - interval 10 minutes as late
+        from deliveries d
+        left join (select b.batch, max(e.timestamp) as latest from (select distinct batch from deliveries) b
+                   join deliveries e on e.batch < b.batch group by 1) m on m.batch = d.batch""",
+    "days": """
+        select home_id, s.date, kwh, temperature from
+            (select home_id, ts::date as date, sum(kwh) as kwh from stg_electricity group by 1, 2) s
+            join (select ts::date as date, avg(temperature_c) as temperature from stg_weather group by 1) w on s.date = w.date""",
+    "fits": """
+        select home_id, balance, count(*) as days, regr_slope(kwh, x) as slope, regr_intercept(kwh, x) as intercept,
+               regr_r2(kwh, x) as r2, regr_syy(kwh, x) as syy
+        from (select *, greatest(balance - temperature, 0.0::double) as x from days, (values (12.0::double), (15.0), (18.0), (21.0)) b(balance))
+        group by 1, 2""",
+    "models": """
+        select home_id, days, balance, intercept as baseline, slope as kwh_per_degree_day, r2,
+               sqrt(greatest(syy * (1 - r2), 0) / (days - 2)) as error
+        from fits where days > 2 and r2 is not null and not isnan(r2)
+        qualify row_number() over (partition by home_id order by round(r2, 9) desc, balance) = 1""",
+    "tiers": """
+        select *, coalesce(sum(kwh) over (partition by home_id, date_trunc('month', ts)
+                      order by ts, meter_id, meter_reading_idx, kwh rows between unbounded preceding and 1 preceding), 0) as used
+        from stg_electricity""",
     "hours": """
         select distinct date_trunc('hour', timestamp) as timestamp, dayofyear(timestamp) as d, hour(timestamp) as h
         from readings""",
@@ -270,6 +300,8 @@ RELATIONS = {
         from fct_weather where temperature_c is not null""",
 }
 
+RELATIONS["corrected_power"] = RELATIONS["keyed_power"].replace("value * 150", "(value + 0.5::double) * 150")
+
 _WORD = re.compile(r"\b[a-z_]\w*\b")
 
 

@@ -524,6 +524,7 @@ SQL = {
         join (select device_id, max(timestamp) as mark from power where timestamp < '2024-01-20'::timestamp group by 1)
             using (device_id)
         where p.timestamp > mark""",
+    "incremental_marks": "select device_id, max(timestamp) as loaded_to from power group by 1",
     "insert_if_absent": f"""
         select * from readings where commodity <> {GAS_CODE} or year(timestamp) < 1998
         union all
@@ -643,9 +644,8 @@ SQL = {
     # --- streaming
     "st_ingest": "select * from power",
     "st_dedupe": latest("power", ["home_id", "device_id", "timestamp"], ["watts"]),
-    "st_upsert": latest(
-        "power", ["home_id", "device_id", "channel", "timestamp"], ["channel_name", "watts", "volts"]
-    ),
+    "st_upsert": "select * exclude (batch, event_id) from "
+    f"({latest('deliveries', ['home_id', 'device_id', 'channel', 'timestamp'], ['batch', 'channel_name', 'watts', 'volts'])})",
     "st_hourly_power": "select * from power_hourly",
     "st_hour_join": f"""
         select e.home_id, e.usage_point_idx::varchar as device_id, e.ts as timestamp, e.kwh, w.temperature_c,
@@ -659,7 +659,41 @@ SQL = {
                count(*) as measurements
         from {CHARGE} group by home_id, device_id, channel, session
         having max(timestamp) - min(timestamp) >= interval 15 minutes""",
-    "st_late_data": "select date_trunc('hour', timestamp) as hour, count(*) as accepted from power group by 1",
+    "st_late_data": """
+        select date_trunc('hour', timestamp) as hour, count(*) filter (late is not true) as accepted,
+               count(*) filter (late) as late from marked group by 1""",
+    "st_late_kept": "select * exclude (event_id, late) from marked where late",
+    "st_late_restored": """
+        select home_id, device_id, channel, channel_name, date_trunc('hour', timestamp) as timestamp,
+               avg(watts) / 1000.0 as kwh, avg(watts) as avg_watts, avg(volts) as avg_volts, avg(amps) as avg_amps,
+               avg(power_factor) as avg_power_factor, count(*) as measurement_count,
+               case when count(*) >= 360 then 'high_quality' when count(*) >= 60 then 'medium_quality'
+                    else 'low_quality' end as quality, count(*) < 60 as estimated
+        from deliveries where watts >= 0 and watts <= 50000 and (volts is null or volts between 100 and 140) group by 1, 2, 3, 4, 5""",
+    "st_hours_dropped": "select date_trunc('hour', timestamp) as hour, count(*) as accepted from power group by 1",
+    # --- tariffs and weather-normal use
+    "d_tiered_cost": """
+        select home_id, ts, meter_id, meter_reading_idx, sum(kwh) as kwh, round(sum(
+                   least(used + kwh, 600) * 10.5 + greatest(used + kwh - 600, 0) * 12.8
+                   - least(used, 600) * 10.5 - greatest(used - 600, 0) * 12.8), 4) as tiered_cents
+        from tiers group by 1, 2, 3, 4""",
+    "d_plan_comparison": """
+        select *, case when tiered_cents <= tou_cents then 'tiered' else 'tou' end as cheaper from (
+            select home_id, date_trunc('month', ts)::timestamp as month, sum(kwh) as kwh,
+                   round((sum(least(used + kwh, 600) * 10.5 + greatest(used + kwh - 600, 0) * 12.8
+                              - least(used, 600) * 10.5 - greatest(used - 600, 0) * 12.8) + sum(kwh) * 7.0::double) * 1.13::double, 2) as tiered_cents,
+                   round((sum(kwh * case tou_period when 'on_peak' then 18.7::double when 'mid_peak' then 13.2 else 9.2 end)
+                          + sum(kwh) * 7.0::double) * 1.13::double, 2) as tou_cents
+            from tiers group by 1, 2)""",
+    "d_weather_baseline": """
+        select home_id, days, balance, round(baseline, 6) as baseline, round(kwh_per_degree_day, 6) as kwh_per_degree_day,
+               round(r2, 6) as r2, round(error, 6) as error from models""",
+    "d_unusual_days": """
+        select home_id, date, kwh, temperature, round(expected, 6) as expected_kwh, round(sigmas, 6) as sigmas
+        from (select *, (kwh - expected) / nullif(error, 0) as sigmas from (
+                  select d.*, m.error, m.baseline + m.kwh_per_degree_day * greatest(m.balance - d.temperature, 0) as expected
+                  from days d join models m on m.home_id = d.home_id))
+        where abs(sigmas) > 2""",
     # --- data quality
     "dq_not_null": " union all ".join(
         [
@@ -697,6 +731,13 @@ SQL["join_hour_left"] = f"""
     from all_electricity u
     left join grid g on g.hour = date_trunc('hour', u.timestamp) and g.{INTENSITY} is not null
     left join {_METERS} on k.home_id = u.home_id"""
+SQL["merge_bucketed"] = SQL["merge_upsert"]
+SQL["agg_sketch_rollups"] = " union all ".join(
+    f"""select '{grain}' as grain, date_trunc('{grain}', timestamp)::timestamp as period_start, count(*) as row_count,
+               count(distinct meter_id) as meters, count(distinct home_id) as homes, true as meters_close, true as homes_close
+        from readings group by 2"""
+    for grain in ("day", "month", "year")
+)
 SQL["union_summaries"] = SQL["q_total_by_commodity"]
 for _name in ("electricity", "gas", "water", "utility", "carbon", "weather"):
     SQL[f"fct_{_name}"] = f"select * from fct_{_name}"
@@ -754,6 +795,7 @@ ROUNDED = {
     "extract_weather": {"kwh": 6},
     "st_hourly_power": {"kwh": 6, "avg_watts": 4},
     "st_charge_sessions": {"avg_watts": 4},
+    "st_late_restored": {"kwh": 6, "avg_watts": 4},
     "d_daily_carbon": {"daily_kwh": 4, "daily_co2_kg": 7},
 }
 

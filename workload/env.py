@@ -42,6 +42,7 @@ class Env:
     """Raw tables and marts of one test data folder in one session."""
 
     LAKE_BUCKETS = 2
+    BUCKETS = 8
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = session.prepare(spark)
@@ -85,6 +86,31 @@ class Env:
         """Readings with the columns that break ties between repeated keys."""
         return star_schema.readings(self.spark, self.sf_dir, keep=("l_orderkey", "l_partkey"))
 
+    # --- arrivals
+
+    #: Last of the five-day batches that events arrive in.
+    LAST_BATCH = 5
+
+    @cached_property
+    def deliveries(self) -> DataFrame:
+        """Events with the number of the batch that brings them: by time, every 17th two batches late, and every 13th
+        delivered again in the next batch, corrected."""
+        events = self.table("events")
+        days = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+        number = F.greatest(F.lit(0), F.least(F.lit(self.LAST_BATCH), F.floor(days / 5).cast("int")))
+        first = events.withColumn("batch", number + F.when(F.col("event_id") % 17 == 0, 2).otherwise(0))
+        again = first.filter(F.col("event_id") % 13 == 0).withColumns({"batch": F.col("batch") + 1, "value": F.col("value") + 0.5})
+        return first.unionByName(again)
+
+    @cached_property
+    def arrivals(self) -> str:
+        """The deliveries as they land: one file for each batch, in their order."""
+        path = self.folder("arrivals")
+        for number in range(self.LAST_BATCH + 4):
+            batch = self.deliveries.filter(F.col("batch") == number).drop("batch")
+            batch.coalesce(1).write.mode("append").parquet(path)  # a batch is a file of the stream
+        return path
+
     # --- files
 
     @cached_property

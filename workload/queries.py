@@ -1,5 +1,7 @@
 """Query key -> function of an Env."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -7,12 +9,13 @@ from hearthgrid import constants as C
 from hearthgrid import schemas
 from hearthgrid.functions import decode, units
 from hearthgrid.functions import weighted as W
-from hearthgrid.operators import dq, merge, percentile, rollup
+from hearthgrid.operators import cursors, dq, merge, percentile, rollup, sketches
 from hearthgrid.session import file_key
-from hearthgrid.plans import climate_report, dashboard, marts, raw_checks, staging, usage
-from hearthgrid.sinks import tables
+from hearthgrid.plans import baseline, climate_report, dashboard, marts, raw_checks, staging, tariffs, usage
+from hearthgrid.sinks import bucketed, tables
 from hearthgrid.sources import bills, climate, espi_xml, files, meter_csv, power, star_schema
 from hearthgrid.streaming import power as stream
+from hearthgrid.streaming import reconcile
 from workload.env import Env
 
 QUERIES = {}
@@ -312,7 +315,11 @@ def sink_arrow_types(e: Env) -> DataFrame:
 
 @query
 def sink_retention(e: Env) -> DataFrame:
-    return tables.within_retention(e.power, 10)
+    """A stored table by day after whole days have been removed from it, read back."""
+    path = e.folder("retained")
+    tables.write_partitioned(e.power.withColumn("day", F.to_date("timestamp")), path, ["day"])
+    tables.expire(e.spark, path, 10, e.power.schema)
+    return e.spark.read.schema(e.power.schema).parquet(path).drop("day")
 
 
 # --- merge
@@ -331,8 +338,32 @@ def merge_upsert(e: Env) -> DataFrame:
 
 @query
 def incremental_hwm(e: Env) -> DataFrame:
-    loaded = e.power.filter(F.to_date("timestamp") < F.lit("2024-01-20").cast("date"))
-    return merge.newer_than(e.power, loaded, "timestamp", ["device_id"])
+    """What a second load brings: it starts at the marks that the first has stored for each device."""
+    table, marks = e.folder("loads"), e.folder("marks")
+    early = e.power.filter(F.to_date("timestamp") < F.lit("2024-01-20").cast("date"))
+    cursors.load_newer(early, table, marks, "timestamp", ["device_id"])
+    number = cursors.load_newer(e.power, table, marks, "timestamp", ["device_id"])
+    return cursors.loaded(e.spark, table, e.power.schema, number)
+
+
+@query
+def incremental_marks(e: Env) -> DataFrame:
+    """The marks after both loads, from the old marks and the new rows alone."""
+    table, marks = e.folder("loads"), e.folder("marks")
+    early = e.power.filter(F.to_date("timestamp") < F.lit("2024-01-20").cast("date"))
+    cursors.load_newer(early, table, marks, "timestamp", ["device_id"])
+    cursors.load_newer(e.power, table, marks, "timestamp", ["device_id"])
+    return cursors.read_marks(e.spark, marks).select("device_id", F.col("_loaded_to").alias("loaded_to"))
+
+
+@query
+def merge_bucketed(e: Env) -> DataFrame:
+    """The merge of merge_upsert over a table bucketed by its key, of which only the batch is shuffled."""
+    name, path = f"readings_{uuid.uuid4().hex[:12]}", e.folder("bucketed")
+    base = e.keyed_readings
+    batch = base.filter(F.col("l_orderkey") % 2 == 0).withColumn("kwh", F.col("kwh") + 1)
+    bucketed.create(base, f"{name}_1", f"{path}/1", READING_KEY, e.BUCKETS, _TIES)
+    return bucketed.merge(e.spark, f"{name}_1", f"{name}_2", f"{path}/2", batch, READING_KEY, e.BUCKETS, _TIES)
 
 
 _GAS_CODE = "CommodityKindValue.VALUE_7"
@@ -592,6 +623,22 @@ def agg_percentile(e: Env) -> DataFrame:
     return staging.electricity(e.staged).agg(F.lit(value).alias("p95_kwh"), _n())
 
 
+@query
+def agg_sketch_rollups(e: Env) -> DataFrame:
+    """Distinct meters and homes of days, months and years from stored hourly sketches, held against exact counts."""
+    readings = e.readings.select("timestamp", "meter_id", "home_id")
+    stored = sketches.store_rollups(readings, e.folder("sketches"), "timestamp", {"meters": "meter_id", "homes": "home_id"})
+    out = None
+    for grain in ("day", "month", "year"):
+        exact = readings.groupBy(units.floor_to(grain, F.col("timestamp")).alias("period_start")).agg(
+            F.count_distinct("meter_id").alias("meters"), F.count_distinct("home_id").alias("homes")
+        )
+        close = [(F.abs(sketches.estimate(c) - F.col(c)) <= 0.02 * F.col(c)).alias(f"{c}_close") for c in ("meters", "homes")]
+        part = stored[grain].join(exact, "period_start").select(F.lit(grain).alias("grain"), "period_start", "row_count", "meters", "homes", *close)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def agg_nullif(e: Env) -> DataFrame:
     return e.marts.grid.agg(
@@ -722,9 +769,49 @@ for _name in [*marts.EXTRACTS, "hourly_weather"]:
     QUERIES[f"extract_{_name}"] = lambda e, n=_name: marts.extract(e.marts, n)
 
 
+# --- tariffs and weather-normal use
+
+
+@query
+def d_tiered_cost(e: Env) -> DataFrame:
+    """Energy charge of each reading under the tiered plan, split where it crosses a tier."""
+    rows = tariffs.tiered_readings(staging.electricity(e.staged), ["meter_id", "meter_reading_idx", "kwh"])
+    return rows.groupBy("home_id", "ts", "meter_id", "meter_reading_idx").agg(
+        F.sum("kwh").alias("kwh"), units.half_up(F.sum("tiered_cents"), 4).alias("tiered_cents")
+    )
+
+
+@query
+def d_plan_comparison(e: Env) -> DataFrame:
+    """Monthly bills of each home under the tiered and the time-of-use plan, charges and tax included."""
+    bills = tariffs.monthly_bills(staging.electricity(e.staged), ["meter_id", "meter_reading_idx", "kwh"])
+    return bills.withColumns({c: units.half_up(F.col(c), 2) for c in ("tiered_cents", "tou_cents")})
+
+
+def _days(e: Env) -> DataFrame:
+    return baseline.daily(staging.electricity(e.staged), staging.weather(e.marts.weather))
+
+
+@query
+def d_weather_baseline(e: Env) -> DataFrame:
+    rounded = {c: units.half_up(F.col(c), 6) for c in ("baseline", "kwh_per_degree_day", "r2", "error")}
+    return baseline.models(_days(e)).withColumns(rounded)
+
+
+@query
+def d_unusual_days(e: Env) -> DataFrame:
+    days = _days(e)
+    return baseline.unusual_days(days, baseline.models(days), 2.0)
+
+
 # --- streaming
 
 
+def _arrivals(e: Env) -> DataFrame:
+    """Events in several files, a batch each, with rows that come late and rows that come twice."""
+    return star_schema.power_of(stream.ingest(e.spark, e.arrivals, e.table("events").schema, files_per_batch=1))
+
+
 def _events(e: Env) -> DataFrame:
     source = e.table("events")
     raw = stream.ingest(e.spark, e.sf_dir, source.schema, "events.parquet")
@@ -738,7 +825,8 @@ def st_ingest(e: Env) -> DataFrame:
 
 @query
 def st_dedupe(e: Env) -> DataFrame:
-    return stream.run(stream.dedupe(_events(e), ["home_id", "device_id", "timestamp"]), "dedupe")
+    """Rows delivered again in a later batch are dropped; the delay covers the latest arrival."""
+    return stream.run(stream.dedupe(_arrivals(e), ["home_id", "device_id", "timestamp"], "60 days"), "dedupe")
 
 
 @query
@@ -748,7 +836,8 @@ def st_hourly_power(e: Env) -> DataFrame:
 
 @query
 def st_upsert(e: Env) -> DataFrame:
-    return stream.run_upsert(_events(e), "upsert")
+    """Batch after batch merged into one table; what a later batch corrects replaces the earlier row."""
+    return stream.run_upsert(_arrivals(e), "upsert")
 
 
 @query
@@ -770,6 +859,25 @@ def st_charge_sessions(e: Env) -> DataFrame:
 
 @query
 def st_late_data(e: Env) -> DataFrame:
+    """Rows accepted by hour, and rows that came after their hour was closed."""
+    return reconcile.run(_arrivals(e), "late").counts()
+
+
+@query
+def st_late_kept(e: Env) -> DataFrame:
+    """The late rows themselves, from the side table."""
+    return reconcile.run(_arrivals(e), "late").late()
+
+
+@query
+def st_late_restored(e: Env) -> DataFrame:
+    """Hourly power of all rows, merged from what was accepted and what was late."""
+    return reconcile.run(_arrivals(e), "late").hourly()
+
+
+@query
+def st_hours_dropped(e: Env) -> DataFrame:
+    """Event-time hours as the windowed stream itself counts them, over input without late rows."""
     return stream.run_closed(stream.late_rows, _events(e), "late")
 
 
