@@ -3,6 +3,7 @@
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,16 @@ def remove(spark: SparkSession, path: str, when_done: bool = False) -> None:
     fs.deleteOnExit(target) if when_done else fs.delete(target, True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, which goes with all it holds when the application ends."""
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+    return path
+
+
 def file_length(spark: SparkSession, path: str) -> int | None:
     """Length of a file on any supported file system, None if there is no such path."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,8 +4,6 @@ The functions take and return DataFrames and work on batch input too; ``run`` dr
 one over everything that has arrived and returns what was written.
 """
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from hearthgrid import constants as C
 from hearthgrid import schemas
 from hearthgrid.operators.merge import merge_partitions
 from hearthgrid.plans import staging
-from hearthgrid.session import work_dir
+from hearthgrid.session import scratch
 
 DELAY = "10 minutes"
 POWER_KEY = schemas.PRIMARY_KEYS["power_monitoring"]
@@ -93,14 +91,10 @@ def late_rows(power: DataFrame, delay: str = DELAY) -> DataFrame:
     return _wall_clock(hours.select(F.col("window.start").alias("hour"), "accepted"), "hour")
 
 
-def _fresh(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def run(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Process everything available into Parquet in the shared folder, then read it back."""
     spark = stream.sparkSession
-    base = _fresh(spark, name)
+    base = scratch(spark, name)
     query = (
         stream.writeStream.outputMode(mode)
         .format("parquet")
@@ -124,7 +118,7 @@ def run_closed(plan, events: DataFrame, name: str) -> DataFrame:
     over the same rows would have them. Call it where a stream is known to have ended; rows that come after are late.
     """
     spark = events.sparkSession
-    base = _fresh(spark, name)
+    base = scratch(spark, name)
     schema = events.schema
     spark.createDataFrame([], schema).write.parquet(f"{base}/end")
     markers = spark.readStream.schema(schema).parquet(f"{base}/end")
@@ -151,7 +145,7 @@ def run_upsert(stream: DataFrame, name: str, keys: list[str] = POWER_KEY, path:
     """Merge every micro-batch into a table partitioned by day. A batch that is replayed after a
     failure changes nothing, because the merge is idempotent."""
     spark = stream.sparkSession
-    base = path or _fresh(spark, name)
+    base = path or scratch(spark, name)
     daily = stream.withColumn("day", F.to_date("timestamp"))
 
     def merge(batch: DataFrame, batch_id: int) -> None:

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from hearthgrid import constants as C
 from hearthgrid.functions import units
 from hearthgrid.plans import staging
-from hearthgrid.session import folders
-from hearthgrid.streaming.power import DELAY, _fresh
+from hearthgrid.session import folders, scratch
+from hearthgrid.streaming.power import DELAY
 
 _MEANS = ["watts", "volts", "amps", "power_factor"]
 
@@ -74,7 +74,7 @@ def _mark(spark: SparkSession, base: str, number: int):
 def run(power: DataFrame, name: str, delay: str = DELAY, path: str | None = None) -> Reconciled:
     """Process everything that has arrived and return what was accepted and what was late."""
     spark = power.sparkSession
-    base = path or _fresh(spark, name)
+    base = path or scratch(spark, name)
 
     def split(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession

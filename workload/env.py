@@ -48,8 +48,12 @@ class Env:
         self.spark = session.prepare(spark)
         self.sf_dir = sf_dir
 
+    @cached_property
+    def base(self) -> str:
+        return session.scratch(self.spark, "workload")
+
     def folder(self, name: str) -> str:
-        return f"{session.work_dir(self.spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        return f"{self.base}/{name}-{uuid.uuid4().hex[:12]}"
 
     def table(self, name: str) -> DataFrame:
         return star_schema.table(self.spark, self.sf_dir, name)
