@@ -1,7 +1,5 @@
 """A corpus pipeline of training-data operators: toxicity, near copies, secrets, mixing, packing."""
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from hearthgrid import session
@@ -19,9 +17,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet and read again as the next one's input."""
+    """All stages over documents, each written as Parquet and read again as the next one's input.
+
+    What stages have written goes when the application ends.
+    """
     docs = common.table(spark, sf_dir, "documents")
-    base = f"{session.work_dir(spark)}/pipeline-{uuid.uuid4().hex[:12]}"
+    base = session.scratch(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{base}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
