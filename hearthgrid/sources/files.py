@@ -2,13 +2,14 @@
 
 from collections import Counter, defaultdict
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthgrid import schemas
 from hearthgrid.plans.staging import grid_intensity
-from hearthgrid.session import file_length, qualified
+from hearthgrid.session import exists, file_key, file_length, qualified
 from hearthgrid.sources import espi_xml, meter_csv
 
 DEFAULT_FORMAT = "greenbutton_xml"
@@ -20,12 +21,31 @@ READERS = {
 }
 
 
+def file_lengths(spark: SparkSession, paths: list[str]) -> dict[str, int]:
+    """Lengths of those of the (qualified) files that hold something.
+
+    Their folders are listed, by Spark's parallel listing and without reading a file, so there is no call to the file
+    system for each of very many files; the driver gets the configured ones alone.
+    """
+    parents = [p for p in sorted({p.rsplit("/", 1)[0] for p in paths}) if exists(spark, unquote(p))]
+    if not parents:
+        return {}
+    listed = spark.read.format("binaryFile").load([unquote(p) for p in parents])
+    listed = listed.select(file_key(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("length"))
+    wanted = spark.createDataFrame([(p,) for p in set(paths)], "path string")
+    return {r["path"]: r["length"] for r in listed.join(wanted, "path", "left_semi").collect()}
+
+
 def plan_files(spark: SparkSession, files: list[dict]) -> tuple[dict, list]:
     """Usable files by format, and (path, reason) for the others."""
     by_format, skipped = defaultdict(list), []
+    known = {entry["path"]: qualified(spark, entry["path"]) for entry in files}
+    lengths = file_lengths(spark, list(known.values()))
     for entry in files:
         kind = entry.get("format", DEFAULT_FORMAT)
-        length = file_length(spark, entry["path"])
+        length = lengths.get(known[entry["path"]])
+        if length is None:  # a listing leaves out empty files; missing and empty ones are the exception
+            length = file_length(spark, entry["path"])
         if length is None:
             skipped.append((entry["path"], "file not found"))
         elif length == 0:
