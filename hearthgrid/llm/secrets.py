@@ -2,9 +2,13 @@
 
 Base kinds (assign, access, hex) are reported wherever they stand. Weak parts (ident: an account or client id; opaque: a
 long token of letters and digits; endpoint: a URL) say nothing alone. Parts are interval-joined: two are linked if they
-stand in one scope (text without a blank line) at most WINDOW code points apart. An ident is reported if it is linked
-to a secret, an opaque token if it is linked to an identifier (access or ident) or to an endpoint that has one, an
-endpoint if it is linked to an identifier and to a secret.
+stand in one scope (text without a blank line) and do not overlap; with a `window`, at most so many code points apart.
+An ident is reported if it is linked to a secret, an opaque token if it is linked to an identifier (access or ident) or
+to an endpoint that has one, an endpoint if it is linked to an identifier and to a secret. What a base span overlaps is
+no weak part, nor is an opaque token that an endpoint overlaps.
+
+Without a window the join is a sweep over the sorted ends of all parts of a scope: how many parts of a role have ended
+before a part starts, and how many start only after it ends, are running counts, so no pair is made.
 
 Defined results: a null text is an empty one and has no spans; equal rows give equal rows; documents of any length are
 scanned whole; a table without rows gives none; other columns are left alone.
@@ -26,7 +30,6 @@ OPAQUE = r"[A-Za-z0-9+/_=-]{16,}"
 ENDPOINT = r"""\b(?:https?|wss?|ftp|ssh|s3|amqps?|postgres(?:ql)?|mysql|mongodb|redis)://[^\s"'<>]+"""
 BLANK = r"\n[\x20\x09\r]*\n"
 KINDS = ("assign", "access", "hex", "ident", "opaque", "endpoint")
-WINDOW = 256
 #: Matches whose lengths are added up at a time.
 CHUNK = 128
 _SPANS = "array<struct<start:bigint,end:bigint>>"
@@ -118,8 +121,8 @@ def scan(docs: DataFrame) -> DataFrame:
     return base.select("doc_id", "key", "assign", "access", "hex", "ident", "endpoint", opaque.alias("opaque"), cuts.alias("cuts"))
 
 
-def linked(scanned: DataFrame) -> DataFrame:
-    """Weak spans that complementary parts support: (key, weak spans)."""
+def _parts(scanned: DataFrame) -> DataFrame:
+    """(key, scope, start, end, number, role) of all parts of documents that have an anchor."""
     # blank lines stand between the parts, as a seventh kind: their number up to a part is its scope
     lines = F.transform("cuts", lambda s: F.struct(s["start"].alias("start"), F.lit(len(KINDS)).alias("number"), s["end"].alias("end")))
     every = F.concat(*[_tagged(k, k) for k in KINDS], lines)
@@ -140,17 +143,57 @@ def linked(scanned: DataFrame) -> DataFrame:
             F.when(F.col("p.number").isin(1, 3), "who").when(F.col("p.number") == 5, "where").otherwise("what").alias("role"),
         )
     )
-    # what a base span covers is no weak part. Each part stands in all slots up to WINDOW behind its end, so whatever lies
+    return parts
+
+
+def _counts() -> Column:
+    return (
+        ((F.col("number") == 3) & F.col("what"))
+        | ((F.col("number") == 4) & F.col("who"))
+        | ((F.col("number") == 5) & F.col("who") & F.col("what"))
+    )
+
+
+def _swept(parts: DataFrame) -> DataFrame:
+    """(key, start, end, number) of the weak parts that their scope supports."""
+    events = parts.withColumn("e", F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(True).alias("opens")), F.struct(F.col("end").alias("at"), F.lit(False).alias("opens")))))
+    # at one place parts end before others start
+    so_far = Window.partitionBy("key", "scope").orderBy("e.at", "e.opens")
+    scope = Window.partitionBy("key", "scope")
+    groups = {"who": F.col("role") == "who", "what": F.col("role") == "what", "base": F.col("number") < 3, "url": F.col("number") == 5}
+    counts = {f"n_{g}": F.count_if(rule & F.col("e.opens")).over(scope) for g, rule in groups.items()}
+    counts |= {f"opened_{g}": F.count_if(rule & F.col("e.opens")).over(so_far) for g, rule in groups.items()}
+    counts |= {f"ended_{g}": F.count_if(rule & ~F.col("e.opens")).over(so_far) for g, rule in groups.items()}
+    swept = events.withColumns(counts).filter("number > 2").groupBy("key", "scope", "start", "end", "number")
+    opens = lambda c: F.max(F.when(F.col("e.opens"), F.col(c)))
+    closes = lambda c: F.max(F.when(~F.col("e.opens"), F.col(c)))
+    # ended up to the start of a part, and opened before its end
+    apart = {g: (opens(f"ended_{g}") + opens(f"n_{g}") - closes(f"opened_{g}") > 0).alias(g) for g in ("who", "what")}
+    over = {g: (closes(f"opened_{g}") - opens(f"ended_{g}") > 0).alias(f"on_{g}") for g in ("base", "url")}
+    rated = swept.agg(*apart.values(), *over.values())
+    return rated.filter(~F.col("on_base") & ~((F.col("number") == 4) & F.col("on_url")) & _counts())
+
+
+def linked(scanned: DataFrame, window: int | None = None) -> DataFrame:
+    """Weak spans that complementary parts support: (key, weak spans)."""
+    parts = _parts(scanned)
+    supported = _swept(parts) if window is None else _joined(parts, window)
+    return supported.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "number", "end"))).alias("weak"))
+
+
+def _joined(parts: DataFrame, window: int) -> DataFrame:
+    """(key, start, end, number) of the weak parts that parts within the window support."""
+    # what a base span covers is no weak part. Each part stands in all slots up to the window behind its end, so whatever lies
     # within the gap or overlaps meets in the slot of the later start, whatever its length
-    slot = lambda c: F.floor(F.col(c) / WINDOW)
-    parts = parts.withColumn("slot", F.explode(F.sequence(slot("start"), F.floor((F.col("end") + WINDOW) / WINDOW))))
+    slot = lambda c: F.floor(F.col(c) / window)
+    parts = parts.withColumn("slot", F.explode(F.sequence(slot("start"), F.floor((F.col("end") + window) / window))))
     other = parts.select(
         "key", "scope", F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("number").alias("o_number"), F.col("role").alias("o_role"), "slot"
     )
-    once = F.col("slot") == F.greatest(slot("start"), slot("o_start"))
+    meets = F.col("slot") == F.greatest(slot("start"), slot("o_start"))
     overlap = (F.col("o_start") < F.col("end")) & (F.col("start") < F.col("o_end"))
     gap = F.greatest(F.col("o_start") - F.col("end"), F.col("start") - F.col("o_end"))
-    joined = parts.filter("number > 2").join(other, ["key", "scope", "slot"]).filter(once & (gap <= WINDOW))
+    joined = parts.filter("number > 2").join(other, ["key", "scope", "slot"]).filter(meets & (gap <= window))
     apart = ~overlap & (F.col("number") == 4) & (F.col("o_number") == 5)
     support = joined.groupBy("key", "start", "end", "number", "role").agg(
         F.collect_set(F.when(apart, F.col("o_start"))).alias("ends"),
@@ -163,33 +206,24 @@ def linked(scanned: DataFrame) -> DataFrame:
     hops = support.select("key", "start", "end", "number", F.explode("ends").alias("where_start")).join(known, ["key", "where_start"])
     hops = hops.select("key", "start", "end", "number", F.lit(True).alias("hop")).distinct()
     support = support.join(hops, ["key", "start", "end", "number"], "left")
-    counts = (
-        ((F.col("number") == 3) & F.col("what"))
-        | ((F.col("number") == 4) & (F.col("who") | F.coalesce("hop", F.lit(False))))
-        | ((F.col("number") == 5) & F.col("who") & F.col("what"))
-    )
-    return (
-        support.filter(~F.col("covered") & counts)
-        .groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "number", "end"))).alias("weak"))
-    )
+    return support.withColumn("who", F.col("who") | F.coalesce("hop", F.lit(False))).filter(~F.col("covered") & _counts())
 
 
-def find(docs: DataFrame) -> DataFrame:
+def find(docs: DataFrame, window: int | None = None) -> DataFrame:
     """Per document: doc_id, key, base and all spans, sorted by start and kind."""
     scanned = common.keep(scan(docs), "secrets")
     base = F.array_sort(F.concat(*[_tagged(k, k) for k in KINDS[:3]]))
     weak = F.coalesce("weak", F.array().cast("array<struct<start:bigint,number:int,end:bigint>>"))
     return (
-        scanned.join(linked(scanned), "key", "left")
+        scanned.join(linked(scanned, window), "key", "left")
         .withColumns({"base": base, "n_linked": F.size(weak).cast("long")})
         .withColumn("all", F.array_sort(F.concat("base", weak)))
         .select("doc_id", "key", "assign", "access", "hex", "base", "all", "n_linked")
     )
 
 
-def digest(docs: DataFrame) -> DataFrame:
-    return find(docs).select(
+def digest(docs: DataFrame, window: int | None = None) -> DataFrame:
+    return find(docs, window).select(
         "doc_id",
         *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]],
         F.sha2(listed(F.col("base")), 256).alias("base_sha256"),

@@ -1,9 +1,12 @@
 """Mixing, secret scans and Merkle trees against plain Python."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
+import pytest
+
 from hearthgrid.llm import merkle, mixing, secrets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -108,16 +111,17 @@ def test_spans_of_many_matches_and_scopes(docs):
 def test_weak_parts_need_each_other(docs):
     who, what, where = "AKIA" + "Z9" * 10, "opaqueTok3n" * 3, "https://db.internal/x"
     texts = [(1, what), (2, where), (3, f"{who} {what} {where}"), (4, f"{who}\n\n{what}"), (5, f"{who}{' ' * 400}{what}"), (6, "client_id=abc"), (7, "client_id=abc password=hunter22")]
-    spans = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s] for r in secrets.digest(docs(texts)).collect()}
+    spans = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s] for r in secrets.digest(docs(texts), window=256).collect()}
     assert spans == {1: [], 2: [], 3: ["access", "opaque", "endpoint"], 4: ["access"], 5: ["access"], 6: [], 7: ["ident", "assign"]}
 
 
-def test_long_parts_link(docs):
+@pytest.mark.parametrize("window", [256, None])
+def test_long_parts_link(docs, window):
     """Slots are of starts alone: parts longer than the window met only by luck."""
     where, long = "https://db.internal/x", "password=" + "x" * 711
     who, wide = "client_id=abc", "https://db.internal/" + "y" * 700
     texts = [(1, f"{long}{' ' * 10}{where} client_id=abc"), (2, f"{who} password=hunter22 {wide}"), (3, f"{wide}{' ' * 10}{who} password=hunter22"), (4, f"client_id=abc {long}0{'=' * 40}")]
-    spans = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s] for r in secrets.digest(docs(texts)).collect()}
+    spans = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s] for r in secrets.digest(docs(texts), window).collect()}
     assert spans == {1: ["assign", "endpoint", "ident"], 2: ["ident", "assign", "endpoint"], 3: ["endpoint", "ident", "assign"], 4: ["ident", "assign"]}
 
 
@@ -125,10 +129,49 @@ def test_opaque_by_an_endpoint_that_has_an_identifier(docs):
     who, what, where = "client_id=abc", "opaqueTok3n" * 3, "https://db.internal/x"
     pad = " " * 200
     texts = [(1, f"{who}{pad}{where}{pad}{what}"), (2, f"{pad}{where}{pad}{what}"), (3, f"{who}{pad * 2}{where}{pad}{what}"), (4, f"{who}{pad}{where}\n\n{pad}{what}")]
-    spans = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s] for r in secrets.digest(docs(texts)).collect()}
+    spans = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s] for r in secrets.digest(docs(texts), window=256).collect()}
     assert spans == {1: ["endpoint", "opaque"], 2: [], 3: [], 4: []}
 
 
+def plain_weak(text):
+    """Weak spans of a text by comparing all parts of each scope."""
+    kinds = [(secrets.ASSIGN, 2, 6), (secrets.ACCESS, 0, 20), (secrets.HEX, 0, 24), (secrets.IDENT, 1, 1), (secrets.OPAQUE, 0, 16), (secrets.ENDPOINT, 0, 1)]
+    cuts = [m.start() for m in re.finditer(secrets.BLANK, text)]
+    parts = []
+    for number, (pattern, group, least) in enumerate(kinds):
+        for m in re.finditer(pattern, text):
+            if len(m.group(group)) >= least and (number != 4 or re.search("[0-9]", m.group()) and re.search("[A-Za-z]", m.group())):
+                parts.append((m.start(), m.end(), number, sum(x < m.start() for x in cuts)))
+    if not any(p[2] in (1, 3, 5) for p in parts):
+        return []
+    role = lambda p: "who" if p[2] in (1, 3) else "where" if p[2] == 5 else "what"
+    out = []
+    for p in parts:
+        same = [q for q in parts if q[3] == p[3]]
+        over = [q for q in same if q[0] < p[1] and p[0] < q[1]]
+        roles = {role(q) for q in same if q not in over}
+        if p[2] < 3 or any(q[2] < 3 or p[2] == 4 and q[2] == 5 for q in over):
+            continue
+        if {3: "what" in roles, 4: "who" in roles, 5: {"who", "what"} <= roles}[p[2]]:
+            out.append((p[0], secrets.KINDS[p[2]], p[1]))
+    return sorted(out)
+
+
+def test_scopes_link_whatever_the_distance(docs, corpus):
+    draw = random.Random(9)
+    pieces = ["client_id=abc", "account_id: x.y", "https://db.internal/x", "opaqueTok3n" * 3, "password=hunter22", "AKIA" + "Z9" * 10, "0f" * 14, "user=jo", "id=opaqueTok3nopaqueTok3n", "https://h/opaqueTok3nopaqueTok3n9", "😀", "\n\n", "\n \t\n"]
+    texts = [(i, "".join(draw.choice(pieces) + draw.choice([" ", "\n", ", ", " " * 400]) for _ in range(draw.randrange(1, 14)))) for i in range(300)]
+    texts += [(r["doc_id"] + 1000, r["text"]) for r in corpus.collect()]
+    got = {r["doc_id"]: r["spans"] for r in secrets.digest(docs(texts)).collect()}
+    found = 0
+    for i, text in texts:
+        weak = [s for s in got[i].split(",") if s and s.split(":")[0] in secrets.KINDS[3:]]
+        want = [f"{k}:{a}:{b}" for a, k, b in plain_weak(text or "")]
+        assert sorted(weak) == sorted(want), (i, text)
+        found += len(want)
+    assert found > 200
+
+
 def test_secrets_leave_the_texts(docs):
     data = docs([(1, "a password=hunter22 b"), (2, "clean"), (3, None), (1, "a password=hunter22 b")])
     out = sorted((r["doc_id"], r["text"], r["n_chars"]) for r in secrets.stage(data).collect() if r["text"])
