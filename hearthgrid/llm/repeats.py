@@ -30,7 +30,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def half_windows(docs: DataFrame, length: int) -> DataFrame:
-    """(h, k1, at): hashes and places of the half windows that are looked at."""
+    """(h, k1, k2, at): hashes and places of the half windows that are looked at; k1 and k2 tell the text."""
     half = (length + 1) // 2
     width = length - half + 1
 
@@ -40,7 +40,7 @@ def half_windows(docs: DataFrame, length: int) -> DataFrame:
             copies = list(zip(batch[1].to_pylist(), batch[2].to_pylist(), strict=True))
             fresh = [i for i, c in enumerate(copies) if c not in seen and not seen.add(c)]
             batch = batch.take(pa.array(fresh, pa.int64()))
-            keys = batch[1].to_numpy(zero_copy_only=False)
+            keys, others = (batch[i].to_numpy(zero_copy_only=False) for i in (1, 2))
             for first, data, offsets in grams.groups(batch[0]):
                 hashes, words = grams.word_hashes(data, offsets)
                 h = grams.window_hashes(grams.prefix(hashes, grams.WORD_BASE), grams.WORD_BASE, half)
@@ -51,10 +51,11 @@ def half_windows(docs: DataFrame, length: int) -> DataFrame:
                 at = np.flatnonzero(chosen)
                 doc = np.searchsorted(words, at, "right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(h[at])), pa.array(keys[first + doc]), pa.array((at - words[doc]).astype(np.int32))], ["h", "k1", "at"]
+                    [pa.array(_signed(h[at])), pa.array(keys[first + doc]), pa.array(others[first + doc]), pa.array((at - words[doc]).astype(np.int32))],
+                    ["h", "k1", "k2", "at"],
                 )
 
-    return common.map_arrow(docs.select("text", "k1", "k2"), read, "h long, k1 long, at int")
+    return common.map_arrow(docs.select("text", "k1", "k2"), read, "h long, k1 long, k2 long, at int")
 
 
 def _candidates(text: bytes, places: list[int], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,22 +89,23 @@ def settle(docs: DataFrame, length: int) -> DataFrame:
     """
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = base.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit("second"), "text")})
-    halves = half_windows(base, length)
-    twice = halves.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    places = halves.join(twice, "h", "left_semi").groupBy("k1").agg(F.collect_set("at").alias("places"))
-    copies = base.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).filter("n > 1")
-    copies = copies.groupBy("k1").agg(F.collect_list(F.struct("k2", "first")).alias("copies"))
-    joined = base.join(places.join(copies, "k1", "full"), "k1", "left").select("doc_id", "text", "k2", "places", "copies")
+    # both written, so that the join is of two plain tables, whose hot hashes Spark may split
+    halves = common.keep(half_windows(base, length), "halves")
+    twice = common.keep(halves.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "twice", free=False)
+    key = ["k1", "k2"]
+    places = halves.join(twice, "h", "left_semi").groupBy(*key).agg(F.collect_set("at").alias("places"))
+    copies = base.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.struct(F.min("doc_id").alias("doc_id")).alias("first")).filter("n > 1").drop("n")
+    joined = base.join(places.join(copies, key, "full"), key, "left").select("doc_id", "text", "places", "first")
 
     def decide(batches):
         for batch in batches:
             out = [[] for _ in range(7)]
-            for doc_id, text, k2, places, copies in zip(*(batch.column(i) for i in range(5)), strict=True):
+            for doc_id, text, places, first in zip(*(batch.column(i) for i in range(4)), strict=True):
                 doc_id, raw, places = doc_id.as_py(), text.as_py().encode(), places.as_py() or []
                 words = raw.split()
-                first = [c["first"] for c in copies.as_py() or [] if c["k2"] == k2.as_py()]
+                first = first.as_py()
                 if first and len(words) >= length:
-                    lends = bool(places) and first[0] == doc_id
+                    lends = bool(places) and first["doc_id"] == doc_id
                     row = (doc_id, len(words), len(words), _sha([]), int(lends))
                 elif places and len(words) >= length:
                     row = (doc_id, len(words), None, None, 2)
@@ -117,7 +119,10 @@ def settle(docs: DataFrame, length: int) -> DataFrame:
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, open int, text string, places array<int>"
     settled = common.map_arrow(joined, decide, schema).withColumn("row", F.monotonically_increasing_id())
-    return common.keep(settled, "repeats")  # written, so that row numbers stay
+    settled = common.keep(settled, "repeats")  # written, so that row numbers stay
+    for done in (halves, twice):
+        common.drop_kept(done)
+    return settled
 
 
 def windows(settled: DataFrame, length: int) -> DataFrame:
@@ -136,10 +141,10 @@ def windows(settled: DataFrame, length: int) -> DataFrame:
 
 def repeated(settled: DataFrame, length: int) -> DataFrame:
     """(row, starts) of the windows that start at more than one place."""
-    found = windows(settled, length)
+    found = common.keep(windows(settled, length), "windows")
     # a lent window stands for at least two places
     count = found.groupBy("h", "g").agg(F.sum(F.when(F.col("row").isNull(), 2).otherwise(1)).alias("n"))
-    twice = count.filter("n > 1").select("h", "g")
+    twice = common.keep(count.filter("n > 1").select("h", "g"), "twice", free=False)
     return found.filter("row is not null").join(twice, ["h", "g"], "left_semi").groupBy("row").agg(F.collect_list("at").alias("starts"))
 
 
