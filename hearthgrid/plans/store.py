@@ -4,13 +4,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearthgrid import schemas
 from hearthgrid.plans import marts as plans
 from hearthgrid.plans import staging
 from hearthgrid.plans.marts import Marts
 from hearthgrid.session import exists
-from hearthgrid.sinks.tables import write_partitioned
 
 # tables that can be built side by side, step after step
 STEPS = [
@@ -20,6 +20,8 @@ STEPS = [
     ["carbon_facts", "weather_facts", "hourly_weather"],
 ]
 READINGS = "readings"
+#: Bytes of all readings for which a folder of the staged ones gets a task of its own.
+WRITER_BYTES = 64 << 30
 RAW = ["weather", "air_quality"]  # small hourly series that some reports read themselves
 TABLES = [name for step in STEPS for name in step]
 
@@ -27,10 +29,15 @@ TABLES = [name for step in STEPS for name in step]
 def stage(readings: DataFrame, path: str) -> DataFrame:
     """Decode all readings in one pass into folders by commodity and month, and read them back.
 
-    A commodity and a range of months are folders then: what filters name is listed and nothing else is scanned.
+    A commodity and a range of months are folders then: what filters name is listed and nothing else is scanned. A folder
+    is written by one task for each WRITER_BYTES of the table (by the planner's estimate), so one that holds a third of
+    the table is shared out too; its meters lie together, in order of time.
     """
     every = staging.decoded(readings)
-    write_partitioned(every, path, staging.READING_FOLDERS)
+    size = int(readings._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    share = F.pmod(F.xxhash64("home_id", "meter_id"), F.lit(1 + size // WRITER_BYTES))
+    dealt = every.repartition(*staging.READING_FOLDERS, share).sortWithinPartitions(*staging.READING_FOLDERS, "meter_id", "ts")
+    dealt.write.mode("overwrite").option("maxRecordsPerFile", 10_000_000).partitionBy(*staging.READING_FOLDERS).parquet(path)
     return readings.sparkSession.read.schema(every.schema).parquet(path)
 
 
