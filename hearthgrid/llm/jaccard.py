@@ -4,7 +4,8 @@ A set is embedded as T minhash values, tokens drawn from the set itself. A node
 (1.25 on average, one over the threshold) and sends each set on to the child that its tokens there name; two similar sets
 go on together with the probability of their similarity. Small buckets are compared by brute force, larger ones split
 again, and what is still large at DEPTH is compared in tiles of bounded size. Runs repeat with other paths until the
-estimated recall (from the links that met in one and in two leaves only) reaches its target.
+estimated recall (from the links that met in one and in two leaves only) reaches its target; further runs add to those
+before, whose pairs they leave alone.
 
 Equal sets are one class from the start. A pair is compared in the first of its common leaves alone, by sketch and then
 exactly, so links are counted once and never sent as pairs; only spanning links of each bucket leave a task.
@@ -198,8 +199,8 @@ def _table(**columns):
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
-def near(tiled: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Rows of tiles that have a pair there which its sketches leave open."""
+def near(tiled: DataFrame, places: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Rows of tiles that have a pair there which its sketches leave open; places are all leaves (id, path) so far."""
     least = T * threshold - MARGIN * math.sqrt(T * threshold * (1 - threshold))
 
     def compare(group):
@@ -217,7 +218,7 @@ def near(tiled: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 yield from kept.to_batches()
 
     # a set's leaves: a few for each run, so the list is bounded
-    lists = tiled.select("id", "path").distinct().groupBy("id").agg(F.collect_list("path").alias("leaves"))
+    lists = places.groupBy("id").agg(F.collect_list("path").alias("leaves"))
     with_bits = lists.join(sets.select("id", "small8", "large8"), "id")
     bits = F.when(F.col("kind") == 0, F.col("small8")).otherwise(F.col("large8"))
     rows = tiled.join(with_bits, "id").select("tile", "side", "path", "id", "leaves", bits.alias("bits"))
@@ -324,18 +325,26 @@ def join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, reca
     grouped = everything.filter("size > 0").groupBy("size", "f1", "f2")
     sets = grouped.agg(first, F.count(F.lit(1)).alias("copies"), F.first("small").alias("small"), F.first("large").alias("large"))
     sets = with_bytes(sets.select("size", "f1", "f2", "_first.first", "_first.k1", "copies", "small", "large"))
+    # each turn adds runs; its leaves come after those of the turns before, where a pair that shares one is theirs
+    done, turn, found, links, places = 0, 0, 0, None, None
     while True:
         common.sweep(docs.sparkSession)
-        tiled = tiles(leaves(sets, range(runs)))
-        open_rows = common.keep(near(tiled, sets, threshold), "open")
+        path = F.shiftrightunsigned("path", 8).bitwiseOR(F.lit(turn << 56))
+        tiled = tiles(leaves(sets, range(done, runs)).withColumn("path", path))
+        here = common.keep(tiled.select("id", "path").distinct(), "leaves", free=False)
+        places = here if places is None else places.unionAll(here)
+        open_rows = common.keep(near(tiled, places, sets, threshold), "open")
         common.sweep(docs.sparkSession)
         wanted = sets.join(open_rows.select("id").distinct(), "id", "left_semi")
-        links = common.keep(verify(open_rows, hashes_of(base, wanted, words), threshold), "links")
-        met = links.filter("what = 2").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("a", "b", "n")]).first()
-        missed = met[0] * (met[0] - 1) / (2 * (met[1] + 1))  # pairs that met nowhere, from those that met once and twice
-        if not met[2] or met[2] / (met[2] + missed) >= recall:
+        new = common.keep(verify(open_rows, hashes_of(base, wanted, words), threshold), "links")
+        links = new if links is None else links.unionAll(new)
+        met = new.filter("what = 2").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("a", "b", "n")]).first()
+        found += met[2]
+        # of the pairs that no turn before has met, those that met nowhere now, from those that met once and twice
+        missed = met[0] * (met[0] - 1) / (2 * (met[1] + 1))
+        if not met[2] or found / (found + missed) >= recall:
             break
-        runs *= 2
+        done, runs, turn = runs, 2 * runs, turn + 1
     counts = links.filter("what = 0").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("_links"))
     linked = common.components(links.filter("what = 1").select("a", "b")).withColumnRenamed("node", "id")
     known = sets.select("id", "size", "f1", "f2", "first", F.struct("first", "k1").alias("_own"), "copies").join(counts, "id", "left").join(linked, "id", "left")

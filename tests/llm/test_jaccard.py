@@ -66,6 +66,20 @@ def test_links_of_the_corpus(corpus):
     assert result(jaccard.digest(corpus)) == plain(rows)
 
 
+def test_further_runs_add_to_earlier_ones(docs, monkeypatch):
+    """From one run on, with small tiles: links of all turns count once, and turns go on until nothing new is met."""
+    turns = []
+    leaves = jaccard.leaves
+    monkeypatch.setattr(jaccard, "leaves", lambda sets, runs: turns.append(runs) or leaves(sets, runs))
+    monkeypatch.setattr(jaccard, "LIMIT", 8)
+    monkeypatch.setattr(jaccard, "TILE", 6)
+    rng = random.Random(12)
+    texts = [t for g in range(8) for t in copies(100 + g, 30, 120, 1 + g % 3)] + [" ".join(f"x{rng.randrange(10**6)}" for _ in range(60)) for _ in range(40)]
+    rows = list(enumerate(texts))
+    assert result(jaccard.join(docs(rows), recall=1.0, runs=1)) == plain(rows)
+    assert len(turns) > 2 and [r.start for r in turns[1:]] == [r.stop for r in turns[:-1]]
+
+
 def test_no_rows(docs):
     assert jaccard.digest(docs([])).collect() == []
 
