@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +147,23 @@ def drop_kept(df: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Columns that the pipeline's stages read or change.
+READ = ("doc_id", "text", "source", "n_chars")
+
+
+def apart(stage):
+    """A stage whose own columns can't meet those of its input: others than READ have names of their own inside it."""
+
+    @wraps(stage)
+    def run(docs: DataFrame, *more) -> DataFrame:
+        token = uuid.uuid4().hex[:12]
+        names = {c: f"_{i}_{token}" for i, c in enumerate(docs.columns) if c not in READ}
+        out = stage(docs.withColumnsRenamed(names), *more)
+        return out.withColumnsRenamed({v: k for k, v in names.items()}).select(*docs.columns)
+
+    return run
+
+
 def words(text: Column) -> Column:
     """Words of a text, maximal runs of anything but white space; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITE), "")

@@ -370,6 +370,7 @@ def digest(docs: DataFrame) -> DataFrame:
     return join(docs).drop("k1")
 
 
+@common.apart
 def stage(docs: DataFrame) -> DataFrame:
     """Pipeline stage: of each group of linked documents the first stays, of equal rows one."""
     columns = docs.columns

@@ -111,6 +111,7 @@ def digest(docs: DataFrame) -> DataFrame:
     ).orderBy(F.asc_nulls_last("position"), "doc_id")
 
 
+@common.apart
 def stage(docs: DataFrame) -> DataFrame:
     """Pipeline stage: each reading becomes a document, the last of a target with the words taken alone."""
     columns = docs.columns

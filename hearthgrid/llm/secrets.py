@@ -30,6 +30,8 @@ OPAQUE = r"[A-Za-z0-9+/_=-]{16,}"
 ENDPOINT = r"""\b(?:https?|wss?|ftp|ssh|s3|amqps?|postgres(?:ql)?|mysql|mongodb|redis)://[^\s"'<>]+"""
 BLANK = r"\n[\x20\x09\r]*\n"
 KINDS = ("assign", "access", "hex", "ident", "opaque", "endpoint")
+#: Code points between the parts of a candidate that the pipeline takes out.
+NEAR = 256
 #: Matches whose lengths are added up at a time.
 CHUNK = 128
 _SPANS = "array<struct<start:bigint,end:bigint>>"
@@ -248,11 +250,16 @@ def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     return F.when(F.size(spans) > 0, F.aggregate(spans, zero, step, tail)).otherwise(text)
 
 
+@common.apart
 def stage(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: secrets are taken out of the texts, all documents stay."""
+    """Pipeline stage: secrets are taken out of the texts, all documents stay.
+
+    Weak candidates are taken out where their parts stand within NEAR code points, so text that merely shares a long
+    scope stays as it is.
+    """
     columns = docs.columns
     key = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit(""))))
-    spans = find(docs).filter(F.size("all") > 0).select(F.col("key").alias("_key"), F.col("all").alias("_spans")).dropDuplicates(["_key"])
+    spans = find(docs, NEAR).filter(F.size("all") > 0).select(F.col("key").alias("_key"), F.col("all").alias("_spans")).dropDuplicates(["_key"])
     out = docs.withColumn("_key", key).join(spans, "_key", "left")
     out = out.withColumn("text", F.when(F.col("_spans").isNotNull(), redact(F.col("text"), F.col("_spans"))).otherwise(F.col("text")))
     if "n_chars" in columns:

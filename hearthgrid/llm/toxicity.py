@@ -245,6 +245,7 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@common.apart
 def stage(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pipeline stage: documents scored 0.5 or more go."""
     return scored(docs, labels).filter("score < 0.5").select(*docs.columns)

@@ -59,6 +59,27 @@ def test_run(spark):
     assert out.count() > 0 and "sequence_id" in out.columns
 
 
+ODD = [(1, None, None), (2, "", "own"), (3, "one two three password=hunter22", "a"), (3, "one two three password=hunter22", "a"), (None, "four five six", "a"), (5, "x" * 20_000, None)]
+CLASHING = ("score", "size", "target", "takes", "position", "_id", "_k1", "_key", "_spans", "k1", "found", "row")
+
+
+@pytest.mark.parametrize("rows", [ODD, ODD[:2], []])
+def test_odd_documents_and_clashing_columns(spark, tmp_path, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
+    full = [(i, t, "en", s, len(t) if t is not None else None, *(f"{c} of {i}" for c in CLASHING)) for i, t, s in rows]
+    docs = spark.createDataFrame(full, schema)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{number}")
+        docs = spark.read.parquet(f"{tmp_path}/{number}")
+        assert docs.columns == [f.split()[0] for f in schema.split(", ")]
+        assert all(r[c] == f"{c} of {r['doc_id']}" for r in docs.collect() for c in CLASHING), name
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in out} == {r["doc_id"] for r in docs.collect()} and (bool(out) or not any((t or "").split() for _, t, _ in rows))
+
+
 def test_library_without_this_part():
     """Nothing outside needs it: the entry module loads with the subpackage out of reach."""
     code = (
