@@ -208,8 +208,16 @@ class Env:
     @cached_property
     def lake(self) -> str:
         """The electricity mart in Hive layout, each reading with its own meter."""
+        return self._lake(self.own_marts)
+
+    @cached_property
+    def home_lake(self) -> str:
+        """The same with each reading repeated for every meter of its home."""
+        return self._lake(self.marts)
+
+    def _lake(self, marts: Marts) -> str:
         path = self.folder("lake")
-        bucketed = tables.with_home_bucket(self.own_marts.fct_electricity, self.LAKE_BUCKETS)
+        bucketed = tables.with_home_bucket(marts.fct_electricity, self.LAKE_BUCKETS)
         tables.write_partitioned(bucketed, path, ["home_bucket", "year", "month"])
         return path
 
