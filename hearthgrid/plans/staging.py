@@ -20,9 +20,11 @@ def month_folder(ts: Column) -> Column:
 def decoded(readings: DataFrame) -> DataFrame:
     """Readings of all commodities, every code decoded once; what the views below select from.
 
-    Store it by READING_FOLDERS (see `plans.store`): a view then reads the folders of its commodity alone.
+    Store it by READING_FOLDERS (see `plans.store`): a view then reads the folders of its commodity alone. Readings may
+    come with their folders already (`foldered`).
     """
-    code, kind = F.col("quality_code"), decode.commodity(F.col("commodity"))
+    known = set(READING_FOLDERS) <= set(readings.columns)
+    code, (kind, month) = F.col("quality_code"), [F.col(c) for c in READING_FOLDERS] if known else _folders()
     water = decode.unit(F.col("uom"), True)
     return readings.select(
         *READING_IDS,
@@ -41,10 +43,19 @@ def decoded(readings: DataFrame) -> DataFrame:
         F.col("commodity").alias("commodity_raw"),
         F.col("uom").alias("uom_raw"),
         kind.alias("commodity_type"),
-        month_folder(F.col("timestamp")).alias("ts_month"),
+        month.alias("ts_month"),
     )
 
 
+def _folders() -> tuple[Column, Column]:
+    return decode.commodity(F.col("commodity")), month_folder(F.col("timestamp"))
+
+
+def foldered(readings: DataFrame) -> DataFrame:
+    """Raw readings with the folders that they go to, and nothing else decoded."""
+    return readings.withColumns(dict(zip(READING_FOLDERS, _folders())))
+
+
 def _of(readings: DataFrame, commodity: str, amount: dict[str, Column], extra: tuple[str, ...] = ()) -> DataFrame:
     """One commodity of decoded readings; raw ones are decoded first."""
     every = readings if "commodity_type" in readings.columns else decoded(readings)

@@ -20,8 +20,6 @@ STEPS = [
     ["carbon_facts", "weather_facts", "hourly_weather"],
 ]
 READINGS = "readings"
-#: Bytes of all readings for which a folder of the staged ones gets a task of its own.
-WRITER_BYTES = 64 << 30
 RAW = ["weather", "air_quality"]  # small hourly series that some reports read themselves
 TABLES = [name for step in STEPS for name in step]
 
@@ -29,15 +27,14 @@ TABLES = [name for step in STEPS for name in step]
 def stage(readings: DataFrame, path: str) -> DataFrame:
     """Decode all readings in one pass into folders by commodity and month, and read them back.
 
-    A commodity and a range of months are folders then: what filters name is listed and nothing else is scanned. A folder
-    is written by one task for each WRITER_BYTES of the table (by the planner's estimate), so one that holds a third of
-    the table is shared out too; its meters lie together, in order of time.
+    A commodity and a range of months are folders then: what filters name is listed and nothing else is scanned. Raw
+    readings are shuffled and sorted, and decoded on their way to the file, as the decoded ones are wider. The rebalance
+    hint splits a folder that holds much of the table over tasks, so no task sorts more than its share; within a file
+    the meters lie together, in order of time.
     """
-    every = staging.decoded(readings)
-    size = int(readings._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    share = F.pmod(F.xxhash64("home_id", "meter_id"), F.lit(1 + size // WRITER_BYTES))
-    dealt = every.repartition(*staging.READING_FOLDERS, share).sortWithinPartitions(*staging.READING_FOLDERS, "meter_id", "ts")
-    dealt.write.mode("overwrite").option("maxRecordsPerFile", 10_000_000).partitionBy(*staging.READING_FOLDERS).parquet(path)
+    raw = staging.foldered(readings).hint("rebalance", *staging.READING_FOLDERS)
+    every = staging.decoded(raw.sortWithinPartitions(*staging.READING_FOLDERS, "meter_id", "timestamp"))
+    every.write.mode("overwrite").option("maxRecordsPerFile", 10_000_000).partitionBy(*staging.READING_FOLDERS).parquet(path)
     return readings.sparkSession.read.schema(every.schema).parquet(path)
 
 
