@@ -22,12 +22,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], ties: list[str]
     """Target after the merge: rows of the batch replace rows with the same key.
 
     Within one side the greatest ``ties`` win, then the remaining columns decide, so the result
-    does not depend on the order of the rows, and a repeated merge changes nothing.
+    does not depend on the order of the rows, and a repeated merge changes nothing. Each side is reduced to its own rows
+    first: a side that was merged before lies by its keys already and is not shuffled again, and a batch that several
+    merges of a plan take is shuffled once.
     """
-    both = target.withColumn("_batch", F.lit(0)).unionByName(batch.withColumn("_batch", F.lit(1)))
-    others = [c for c in target.columns if c not in keys and c not in ties]
-    order = [F.col("_batch"), *[F.col(c) for c in ties], *[F.col(c) for c in others]]
-    return latest_per_key(both, keys, order).drop("_batch")
+    order = [F.col(c) for c in [*ties, *(c for c in target.columns if c not in keys and c not in ties)]]
+    own, new = (latest_per_key(side, keys, order).withColumn("_batch", F.lit(n)) for n, side in enumerate((target, batch)))
+    return latest_per_key(own.unionByName(new), keys, [F.col("_batch")]).drop("_batch")
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str], blank: list[str] = ()) -> DataFrame:
