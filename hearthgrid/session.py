@@ -5,7 +5,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORK_DIR_KEY = "spark.checkpoint.dir"
@@ -99,6 +99,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Size of a table as the planner estimates it."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def file_length(spark: SparkSession, path: str) -> int | None:
     """Length of a file on any supported file system, None if there is no such path."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

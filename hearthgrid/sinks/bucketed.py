@@ -11,6 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthgrid.operators.merge import latest_per_key
+from hearthgrid.session import planned_bytes
+
+
+#: Bytes of a table, by the planner's estimate, that one bucket holds; a task sorts one bucket as rows, which are wider.
+BUCKET_BYTES = 16 << 20
+
+
+def buckets_for(df: DataFrame, at_least: int) -> int:
+    """Number of buckets that keeps a bucket at the same size however large the table is."""
+    return max(at_least, -(-planned_bytes(df) // BUCKET_BYTES))
 
 
 def newest_per_key(batch: DataFrame, keys: list[str], ties: list[str] = ()) -> DataFrame:
