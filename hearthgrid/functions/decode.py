@@ -6,11 +6,23 @@ from pyspark.sql import functions as F
 from hearthgrid import constants as C
 
 
+def holds(value: Column, code: str) -> Column:
+    """Whether the value is LIKE %code%. A code with "_", which takes any sign, is matched as a pattern only where the code
+    itself does not occur but all of its parts do, as patterns cost much more than a search."""
+    pattern = value.like(f"%{code}%")
+    parts = code.split("_")
+    if len(parts) == 1:
+        return pattern
+    for part in parts:
+        pattern = value.contains(part) & pattern
+    return value.contains(code) | pattern
+
+
 def contains_first(value: Column, codes, default: str) -> Column:
     """Label of the first code that occurs in the value, with LIKE matching."""
     label = F.lit(default)
     for code, name in reversed(codes):
-        label = F.when(value.like(f"%{code}%"), name).otherwise(label)
+        label = F.when(holds(value, code), name).otherwise(label)
     return label
 
 

@@ -318,11 +318,10 @@ class Marts:
         limit the facts are joined in place, above it they are shuffled.
         """
         spark = self.readings.sparkSession
-        small = {"homes": self.homes, "home_meters": self.meters, "climate": self.climate, "grid": self.grid}
-        for name, df in small.items():
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
         settled = replace(self)
+        # meters are counted over the stored homes, so readings are scanned once
         for name, attribute in [("homes", "homes"), ("home_meters", "meters"), ("climate", "climate"), ("grid", "grid")]:
+            getattr(settled, attribute).write.mode("overwrite").parquet(f"{path}/{name}")
             settled.__dict__[attribute] = spark.read.parquet(f"{path}/{name}")
         return settled
 

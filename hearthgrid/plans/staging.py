@@ -17,15 +17,58 @@ def month_folder(ts: Column) -> Column:
     return F.year(ts) * 100 + F.month(ts)
 
 
+#: The names that codes usually have, at most 15 of a kind.
+USUAL = {
+    "quality_code": [*dict.fromkeys(f"QualityOfReading.{name}" for _, name in C.ESPI_QUALITY), "QualityOfReading.VALUE_14"],
+    "tou_bucket": [bucket for bucket, _ in C.TOU_PERIODS],
+    "commodity": [f"CommodityKindValue.{code}" for code, _ in C.COMMODITY_CODES],
+    "uom": [f"UnitSymbolKindValue.{code}" for code, _ in C.WATER_UNIT_CODES],
+}
+#: Columns of packed readings: places of their codes in USUAL (from 1, 0 for others), and number of their folder.
+CODES, FOLDER = "_codes", "_folder"
+
+
+def packed(readings: DataFrame) -> DataFrame:
+    """Raw readings with usual codes as places in one number, to be shuffled and sorted by FOLDER; `decoded` takes them.
+
+    A code that is not among the usual ones stays as it is, others become null. Columns that differ from row to row stand
+    side by side, as the blocks of a shuffle are smaller then.
+    """
+    places = {c: F.coalesce(F.array_position(F.array(*map(F.lit, usual)), F.col(c)), F.lit(0)) for c, usual in USUAL.items()}
+    codes = F.lit(0).cast("bigint")
+    for place in places.values():
+        codes = codes * 16 + place
+    rows = readings.withColumns({CODES: codes.cast("int"), **{c: F.when(place == 0, F.col(c)) for c, place in places.items()}})
+    kind = decode.rank_of(_label(rows, "commodity", decode.commodity), [name for _, name in C.COMMODITY_CODES])
+    rows = rows.withColumn(FOLDER, kind * 100_000_000 + F.coalesce(month_folder(F.col("timestamp")), F.lit(0)))
+    return rows.select(
+        *USUAL, "service_kind", "duration_seconds", "home_id", "meter_id", "cost", "usage_point_idx", "kwh", "raw_value", "meter_reading_idx", CODES, FOLDER, "timestamp"
+    )
+
+
+def _usual(name: str, values: list[Column]) -> Column:
+    """The value for the code of packed readings, null if it is not a usual one."""
+    place = F.shiftright(CODES, 4 * list(reversed(USUAL)).index(name)).bitwiseAND(F.lit(15))
+    return F.get(F.array(*values), place - 1)
+
+
+def _label(rows: DataFrame, name: str, label) -> Column:
+    """The label of a code; for usual codes of packed readings it is made once and looked up."""
+    if CODES not in rows.columns:
+        return label(F.col(name))
+    return F.coalesce(_usual(name, [label(F.lit(code)) for code in USUAL[name]]), label(F.col(name)))
+
+
 def decoded(readings: DataFrame) -> DataFrame:
     """Readings of all commodities, every code decoded once; what the views below select from.
 
     Store it by READING_FOLDERS (see `plans.store`): a view then reads the folders of its commodity alone. Readings may
-    come with their folders already (`foldered`).
+    come `packed`.
     """
-    known = set(READING_FOLDERS) <= set(readings.columns)
-    code, (kind, month) = F.col("quality_code"), [F.col(c) for c in READING_FOLDERS] if known else _folders()
-    water = decode.unit(F.col("uom"), True)
+    raw = {name: _label(readings, name, lambda code: code) for name in USUAL}
+    label = lambda name, decoder: _label(readings, name, decoder)
+    kind = label("commodity", decode.commodity)
+    water, other = label("uom", lambda code: decode.unit(code, True)), label("uom", lambda code: decode.unit(code, False))
     return readings.select(
         *READING_IDS,
         F.col("timestamp").alias("ts"),
@@ -33,29 +76,20 @@ def decoded(readings: DataFrame) -> DataFrame:
         "kwh",
         "raw_value",
         F.col("cost").alias("cost_cents"),
-        decode.quality(code).alias("quality"),
-        decode.is_estimated(code).alias("estimated"),
-        decode.tou_period(F.col("tou_bucket")).alias("tou_period"),
-        F.col("tou_bucket").alias("tou_bucket_raw"),
-        F.when(kind == "water", water).otherwise(decode.unit(F.col("uom"), False)).alias("unit"),
+        label("quality_code", decode.quality).alias("quality"),
+        label("quality_code", decode.is_estimated).alias("estimated"),
+        label("tou_bucket", decode.tou_period).alias("tou_period"),
+        raw["tou_bucket"].alias("tou_bucket_raw"),
+        F.when(kind == "water", water).otherwise(other).alias("unit"),
         "service_kind",
-        code.alias("quality_code_raw"),
-        F.col("commodity").alias("commodity_raw"),
-        F.col("uom").alias("uom_raw"),
+        raw["quality_code"].alias("quality_code_raw"),
+        raw["commodity"].alias("commodity_raw"),
+        raw["uom"].alias("uom_raw"),
         kind.alias("commodity_type"),
-        month.alias("ts_month"),
+        month_folder(F.col("timestamp")).alias("ts_month"),
     )
 
 
-def _folders() -> tuple[Column, Column]:
-    return decode.commodity(F.col("commodity")), month_folder(F.col("timestamp"))
-
-
-def foldered(readings: DataFrame) -> DataFrame:
-    """Raw readings with the folders that they go to, and nothing else decoded."""
-    return readings.withColumns(dict(zip(READING_FOLDERS, _folders())))
-
-
 def _of(readings: DataFrame, commodity: str, amount: dict[str, Column], extra: tuple[str, ...] = ()) -> DataFrame:
     """One commodity of decoded readings; raw ones are decoded first."""
     every = readings if "commodity_type" in readings.columns else decoded(readings)

@@ -10,7 +10,7 @@ from hearthgrid import schemas
 from hearthgrid.plans import marts as plans
 from hearthgrid.plans import staging
 from hearthgrid.plans.marts import Marts
-from hearthgrid.session import exists
+from hearthgrid.session import exists, setting
 
 # tables that can be built side by side, step after step
 STEPS = [
@@ -22,19 +22,23 @@ STEPS = [
 READINGS = "readings"
 RAW = ["weather", "air_quality"]  # small hourly series that some reports read themselves
 TABLES = [name for step in STEPS for name in step]
+#: Folders that a task of `stage` writes at a time: four commodities of ten years.
+WRITERS = 512
 
 
 def stage(readings: DataFrame, path: str) -> DataFrame:
     """Decode all readings in one pass into folders by commodity and month, and read them back.
 
-    A commodity and a range of months are folders then: what filters name is listed and nothing else is scanned. Raw
-    readings are shuffled and sorted, and decoded on their way to the file, as the decoded ones are wider. The rebalance
-    hint splits a folder that holds much of the table over tasks, so no task sorts more than its share; within a file
-    the meters lie together, in order of time.
+    A commodity and a range of months are folders then: what filters name is listed and nothing else is scanned. Readings
+    are shuffled and sorted as narrow rows, by the number of their folder, and decoded on their way to the file. The
+    rebalance hint splits a folder that holds much of the table over tasks, so no task sorts more than its share. A task
+    keeps the files of up to WRITERS folders open; were there more, Spark sorts the rest of its rows again.
     """
-    raw = staging.foldered(readings).hint("rebalance", *staging.READING_FOLDERS)
-    every = staging.decoded(raw.sortWithinPartitions(*staging.READING_FOLDERS, "meter_id", "timestamp"))
-    every.write.mode("overwrite").option("maxRecordsPerFile", 10_000_000).partitionBy(*staging.READING_FOLDERS).parquet(path)
+    narrow = staging.packed(readings).hint("rebalance", staging.FOLDER).sortWithinPartitions(staging.FOLDER)
+    every = staging.decoded(narrow)
+    writer = every.write.mode("overwrite").option("maxRecordsPerFile", 10_000_000).partitionBy(*staging.READING_FOLDERS)
+    with setting(readings.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(WRITERS)):
+        writer.parquet(path)
     return readings.sparkSession.read.schema(every.schema).parquet(path)
 
 

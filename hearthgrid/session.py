@@ -4,6 +4,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A runtime option for the jobs inside, as before afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def build(
     master: str = "local[*]", app: str = "hearthgrid", shuffle_partitions: int = 8, work: str | None = None
 ) -> SparkSession:
