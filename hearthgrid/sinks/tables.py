@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthgrid.operators.merge import latest_per_key
-from hearthgrid.session import folders, remove
+from hearthgrid.session import folders, planned_bytes, remove, scratch
 from hearthgrid.sources.files import home_bucket
 
 _PLAIN = (
@@ -49,11 +49,34 @@ def keyed(df: DataFrame, keys: list[str], order: list[str] = ()) -> DataFrame:
     return latest_per_key(df, keys, [F.col(c) for c in [*order, *rest]])
 
 
+#: Bytes of repeated hashes that are sent to all tasks; with more, all rows are shuffled.
+REPEATED_BYTES = 32 << 20
+
+
+def repeated_hashes(hashed: DataFrame) -> DataFrame:
+    """Values of _hash that occur more than once."""
+    return hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_hash")
+
+
 def export_keyed(df: DataFrame, path: str, name: str, keys: list[str], order: list[str] = ()) -> dict:
-    """Replace a table by one with a unique key."""
+    """Replace a table by one with a unique key.
+
+    Rows are read twice: hashes of keys tell which of them occur more than once, and only rows with such a hash are
+    shuffled whole, the others are written where they are read.
+    """
     started = time.perf_counter()
-    out = keyed(plain_types(df), keys, order)
+    spark, rows = df.sparkSession, plain_types(df)
+    hashed = rows.withColumn("_hash", F.xxhash64(*keys))
+    listed = scratch(spark, "repeated")
+    repeated_hashes(hashed).write.mode("overwrite").parquet(listed)
+    repeated = spark.read.schema("_hash bigint").parquet(listed)
+    if planned_bytes(repeated) <= REPEATED_BYTES:
+        several = hashed.join(F.broadcast(repeated), "_hash", "left_semi").select(*rows.columns)
+        out = hashed.join(F.broadcast(repeated), "_hash", "left_anti").select(*rows.columns).unionByName(keyed(several, keys, order))
+    else:
+        out = keyed(rows, keys, order)
     out.write.mode("overwrite").parquet(f"{path}/{name}")
+    remove(spark, listed)
     rows = df.sparkSession.read.parquet(f"{path}/{name}").count()
     return {"table": name, "rows_exported": rows, "write_time_s": time.perf_counter() - started}
 
