@@ -40,11 +40,13 @@ _MARKS = re.escape("".join(LOOKS))
 _IN = rf"[\w{_MARKS}*.\-]"
 #: What may part the letters of a spaced word, and words within a stretch.
 PARTS = " .-_*"
-#: Letters with look-alikes between or beside them, letters three times in a row, single letters in a row.
+#: Letters with look-alikes between or beside them, letters three times in a row, single letters in a row. All begin
+#: where no word goes on, which is looked at first, as most places are inside of words.
 SUSPECT = re.compile(
-    rf"(?<!{_IN})(?=[^\W\d_{_MARKS}]*[{_MARKS}])(?=[\d{_MARKS}]*[^\W\d_]){_IN}{{3,}}"
-    r"|(?<!\w)\w*?([^\W\d_])\1\1\w*"
-    r"|(?<!\w)(?:\w[ .\-_*]{1,2}){2,}\w(?!\w)"
+    rf"(?<!\w)(?={_IN})(?:"
+    rf"(?<!{_IN})(?=[^\W\d_{_MARKS}]*+[{_MARKS}])(?=[\d{_MARKS}]*+[^\W\d_]){_IN}{{3,}}"
+    r"|\w*?([^\W\d_])\1\1\w*"
+    r"|(?:\w[ .\-_*]{1,2}){2,}\w(?!\w))"
 )
 #: Longest stretch whose restored form is remembered.
 REMEMBER = 64
@@ -226,7 +228,7 @@ def score(docs: DataFrame, model: np.ndarray, weights: dict[str, float], bias: f
         for batch in batches:
             scores = []
             for text in batch[place]:
-                found = {f for w in words(text.as_py() or "") for f in hits(w)}
+                found = set().union(*map(hits, words(text.as_py() or "")))
                 scores.append(1 / (1 + math.exp(-max(-40.0, min(40.0, bias + sum(sorted(known[f] for f in found)))))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 

@@ -120,3 +120,23 @@ def test_the_fit_is_at_its_optimum(spark):
         slope = sum(d for d, (found, _) in zip(wrong, rows) if f in found)
         assert abs(slope - 0.5 * w) < 0.05 * len(rows) ** 0.5, f
     assert abs(wrong.sum()) < 0.5
+
+
+def test_suspicious_stretches_are_looked_for_at_word_starts_alone():
+    """op9 budget: the three kinds tried one after the other at each place find the same, and places inside of words are
+    left by the first look."""
+    marks, inner = tox._MARKS, tox._IN
+    plain = re.compile(
+        rf"(?<!{inner})(?=[^\W\d_{marks}]*[{marks}])(?=[\d{marks}]*[^\W\d_]){inner}{{3,}}"
+        r"|(?<!\w)\w*?([^\W\d_])\1\1\w*"
+        r"|(?<!\w)(?:\w[ .\-_*]{1,2}){2,}\w(?!\w)"
+    )
+    rng = np.random.default_rng(5)
+    signs = list("aabb\u00e9013459@$!+|( .-_*\n,x\u00df\u017f")
+    found = 0
+    for size in rng.integers(0, 60, 4000):
+        text = "".join(rng.choice(signs, size))
+        spans = [m.span() for m in plain.finditer(text)]
+        assert spans == [m.span() for m in tox.SUSPECT.finditer(text)], text
+        found += len(spans)
+    assert found > 1000 and tox.SUSPECT.pattern.startswith(rf"(?<!\w)(?={inner})")
