@@ -216,10 +216,9 @@ def merge(runs: list[tuple[list[int], list[bytes]]]) -> tuple[list[tuple[int, in
 def earlier(meta: np.ndarray, lcps: np.ndarray, lefts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     """For suffixes in order, the windows (bits by offset before the anchor, 64 and further ones) that start earlier."""
     n, deepest = len(meta), int(meta["left"].max(initial=0))
-    before = np.zeros((deepest, n), dtype=np.uint8)
-    for i, left in enumerate(lefts):
-        if left:
-            before[: len(left), i] = np.frombuffer(left, dtype=np.uint8)[::-1]
+    # a row for each distance from the anchor; made from whole strings, as single columns of a wide table cost a miss a byte
+    padded = b"".join([left[::-1].ljust(deepest, b"\0") for left in lefts])
+    before = np.ascontiguousarray(np.frombuffer(padded, dtype=np.uint8).reshape(n, deepest).T) if padded else np.zeros((deepest, n), dtype=np.uint8)
     rank = np.zeros(n, dtype=np.int64)
     by = np.lexsort((meta["at"], meta["doc"]))
     new = (np.diff(meta["at"][by]) != 0) | (np.diff(meta["doc"][by]) != 0)
@@ -330,7 +329,8 @@ def duplicates(settled: DataFrame, length: int, k: int) -> DataFrame:
         for blobs in (parts_seen.pop(p) for p in sorted(parts_seen)):
             decoded = [decode(b) for b in blobs]
             order, lcps = merge([(m["lcp"].tolist(), rights) for m, rights, _ in decoded])
-            meta = np.array([decoded[i][0][j] for i, j in order], dtype=_META)
+            starts = np.cumsum([0, *(len(m) for m, _, _ in decoded)]).tolist()
+            meta = np.concatenate([m for m, _, _ in decoded])[[starts[i] + j for i, j in order]]
             m0, m1 = earlier(meta, np.array(lcps), [decoded[i][2][j] for i, j in order], length)
             hit = np.flatnonzero((m0 | m1) != 0)
             yield pa.RecordBatch.from_arrays(_found(meta["row"][hit], meta["at"][hit], m0[hit], m1[hit]), ["row", "at", "m0", "m1"])
